@@ -208,7 +208,7 @@ def cut_documents(docs: DataFrame, low: float = -5.0, high: float = -1.5, start:
     d = docs.select("doc_id", "text", F.coalesce("source", F.lit("")).alias("source"), F.lower(F.coalesce("lang", F.lit("und"))).alias("lang"))
     d = d.where("doc_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["doc_id"]).withColumn("key", F.sha2("text", 256))
     d = cut(d.select("doc_id", "source", "lang", "key", "text").mapInArrow(body, "doc_id bigint, source string, lang string, key string, body string").where("body <> ''"))
-    texts = cut(d.groupBy("key").agg(F.first("body").alias("body")))
+    texts = cut(d.groupBy("key").agg(F.first("body").alias("body")), spread=True)
     scored = cut(lookup_join(d.drop("body"), log_odds(texts), "key"))
     # Thresholds from histograms of the log-odds: a bounded number of bins for each group.
     bins = scored.groupBy("lang", "source", F.round(F.col("odds") * 20).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))

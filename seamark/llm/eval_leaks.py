@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamark.functions.dist import cut
+from seamark.functions.dist import cut, n_partitions
 from seamark.llm.unify_text import unify
 
 N = 3
@@ -131,5 +131,5 @@ def leaks(docs: DataFrame, items: DataFrame, min_cover: float = 0.5, slack: floa
             cover, rare_cover = (pa.array([g[k] for g in got], pa.float64()) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("item_id"), cover, rare_cover], names=["doc_id", "item_id", "cover", "rare_cover"])
 
-    scored = both.select("doc_id", "item_id", "dw", "iw", "idf").mapInArrow(run, "doc_id bigint, item_id bigint, cover double, rare_cover double")
+    scored = both.select("doc_id", "item_id", "dw", "iw", "idf").repartition(n_partitions(docs)).mapInArrow(run, "doc_id bigint, item_id bigint, cover double, rare_cover double")
     return scored.where((F.col("cover") >= min_cover - slack) & (F.col("rare_cover") >= min_rare_cover))

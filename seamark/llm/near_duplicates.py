@@ -121,7 +121,7 @@ def classes_of(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``c, rep, words`` for each distinct set (``rep`` its smallest id) and ``id, c`` for each record."""
     keyed = sets.select("id", "words", F.sha2(F.array_join("words", " "), 256).alias("k"))
     one = keyed.groupBy("k").agg(F.min("id").alias("rep"), F.first("words").alias("words"))
-    one = cut(one.withColumn("c", F.monotonically_increasing_id()))
+    one = cut(one.withColumn("c", F.monotonically_increasing_id()), spread=True)
     members = keyed.select("id", "k").join(one.select("k", "c"), "k").select("id", "c")
     return one.select("c", "rep", "words"), members
 

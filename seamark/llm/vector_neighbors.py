@@ -172,7 +172,7 @@ def build_graph(nodes: DataFrame, k: int = K, tables: int = TABLES, max_rounds:
 
 def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``v, model, vec`` for each distinct vector of a model, and ``id, v`` for each row."""
-    nodes = cut(vectors.groupBy("model", "vec").agg(F.count(F.lit(1)).alias("copies")).withColumn("v", F.monotonically_increasing_id()))
+    nodes = cut(vectors.groupBy("model", "vec").agg(F.count(F.lit(1)).alias("copies")).withColumn("v", F.monotonically_increasing_id()), spread=True)
     members = vectors.join(nodes.select("model", "vec", "v"), ["model", "vec"]).select("id", "v")
     return nodes.select("v", "model", "vec"), cut(members)
 
