@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,17 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def cut(df: DataFrame, spread: bool = False) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: its lineage ends there.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where neither it nor a
-    context folder is set (single-process tests) a temporary one is used.
+    The folder is the application's own below ``spark.checkpoint.dir``; only where neither that
+    nor a context folder is set (single-process tests) a temporary one is used. A table is written
+    rather than a checkpoint, because checkpoints carry the constraints of their plans along, which
+    pile up over the rounds of an iteration. ``spread`` deals the rows out evenly first, for steps
+    whose cost is computing, not bytes.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seamark-ckpt-"))
-    return df.checkpoint(eager=True)
+    path = f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    (df.repartition(n_partitions(df)) if spread else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def n_partitions(df: DataFrame) -> int:
