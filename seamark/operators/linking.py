@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +51,6 @@ def embed_local(chunks: DataFrame, dim: int = 64, max_tokens: int = 512, model:
     import hashlib
     import random
 
-    import pandas as pd
-
     from seamark.functions.text import tokens
 
     words = tokens(F.col("text"))

@@ -1,6 +1,310 @@
-def queries():
-    return {}
+"""Queries over the core operators, and the SQL that says the same."""
 
+from __future__ import annotations
 
-def oracle_sql():
-    return {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seamark.functions.dist import cut, table
+from seamark.operators import elements as el
+from seamark.operators import entities as en
+from seamark.operators import linking, normalize, promotion
+
+Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        Q[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+# SQL that several answers share.
+W = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+DOCS = """docs AS (SELECT doc_id, any_value(coalesce(source_path, '')) AS source_path, any_value(list_transform(coalesce(pages, [text]), lambda p: coalesce(p, ''))) AS pages
+    FROM extracted_docs WHERE doc_id IS NOT NULL GROUP BY doc_id)"""
+SENT = DOCS + rf""", paged AS (SELECT doc_id, unnest(pages) AS body, generate_subscripts(pages, 1) AS page FROM docs),
+    split AS (SELECT doc_id, page, body, string_split(regexp_replace(body, '([.!?]["''”’)\]]*|\n\n+)', '\1' || chr(57344), 'g'), chr(57344)) AS ps FROM paged),
+    piece AS (SELECT doc_id, page, body, unnest(ps) AS p, generate_subscripts(ps, 1) AS k FROM split),
+    placed AS (SELECT *, coalesce(sum(length(p)) OVER (PARTITION BY doc_id, page ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off_,
+        length(p) - length(regexp_replace(p, '^{W}+', '')) AS lead, regexp_replace(regexp_replace(p, '^{W}+', ''), '{W}+$', '') AS core FROM piece),
+    sent AS (SELECT doc_id, page, (row_number() OVER (PARTITION BY doc_id, page ORDER BY k) - 1)::INT AS ord, (off_ + lead)::INT AS char_start, (off_ + lead + length(core))::INT AS char_end, core AS text FROM placed WHERE length(core) > 0),
+    sentences_ AS (SELECT doc_id, substr(sha1(doc_id || '|' || page || '|' || char_start || '|' || char_end), 1, 16) AS sent_id, page::INT AS page, ord, char_start, char_end, text,
+        len(list_filter(regexp_split_to_array(text, '{W}+'), lambda t: t <> ''))::INT AS n FROM sent)"""
+CHUNK = SENT + """, seq AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page, ord) AS i FROM sentences_),
+    pack AS (SELECT doc_id, i, n AS cur, 0 AS chunk FROM seq WHERE i = 1
+        UNION ALL SELECT s.doc_id, s.i, CASE WHEN p.cur + s.n > 512 AND p.cur > 0 THEN s.n ELSE p.cur + s.n END, CASE WHEN p.cur + s.n > 512 AND p.cur > 0 THEN p.chunk + 1 ELSE p.chunk END
+        FROM pack p JOIN seq s ON s.doc_id = p.doc_id AND s.i = p.i + 1),
+    chunks_ AS (SELECT s.doc_id, substr(sha1(s.doc_id || '|' || arg_min(sent_id, s.i) || '|' || arg_max(sent_id, s.i)), 1, 16) AS chunk_id, chunk::INT AS ord, string_agg(text, ' ' ORDER BY s.i) AS text,
+        list(sent_id ORDER BY s.i) AS sentence_ids, min(page)::INT AS page_start, max(page)::INT AS page_end, sum(n)::INT AS n_tokens
+        FROM seq s JOIN pack p ON s.doc_id = p.doc_id AND s.i = p.i GROUP BY s.doc_id, chunk)"""
+
+
+def _docs(s, d):
+    return normalize.coerce(table(s, d, "extracted_docs"))
+
+
+def _sents(s, d):
+    return normalize.sentences(_docs(s, d))
+
+
+def _chunks(s, d):
+    return normalize.chunks(_sents(s, d))
+
+
+@query(f"WITH {SENT} SELECT doc_id, sent_id, page, ord, char_start, char_end, text FROM sentences_")
+def sentence_spans(s, d):
+    return _sents(s, d)
+
+
+@query(f"WITH RECURSIVE {CHUNK} SELECT doc_id, chunk_id, ord, text, array_to_string(sentence_ids, ',') AS sentence_ids, page_start, page_end, n_tokens FROM chunks_")
+def token_chunks(s, d):
+    return _chunks(s, d).withColumn("sentence_ids", F.array_join("sentence_ids", ","))
+
+
+@query(f"""WITH RECURSIVE {CHUNK} SELECT d.doc_id, sha1(array_to_string(pages, '')) AS doc_sha1, len(pages)::INT AS num_pages,
+    (SELECT count(*) FROM sentences_ s WHERE s.doc_id = d.doc_id) AS n_sentences, (SELECT count(*) FROM chunks_ c WHERE c.doc_id = d.doc_id) AS n_chunks FROM docs d""")
+def document_summary(s, d):
+    return normalize.summary(_docs(s, d), _sents(s, d), _chunks(s, d))
+
+
+@query(f"""WITH {DOCS}, body AS (SELECT doc_id, unnest(pages) AS body, generate_subscripts(pages, 1) AS page FROM docs),
+    s AS (SELECT DISTINCT doc_id, sent_id, page, char_start, char_end, text FROM sentences)
+    SELECT s.doc_id, 'slice_mismatch' AS rule, sent_id AS item FROM s LEFT JOIN body b ON s.doc_id = b.doc_id AND s.page = b.page
+    WHERE s.text IS DISTINCT FROM substr(b.body, char_start + 1, char_end - char_start)""")
+def stored_sentence_violations(s, d):
+    """The present sentences table against its pages."""
+    rows = table(s, d, "sentences")
+    none = _chunks(s, d).where("false")
+    return normalize.violations(_docs(s, d), rows, none)
+
+
+@query("""SELECT doc_id, st AS start, substr(text, st + 1, 1200) AS text FROM (SELECT doc_id, text, unnest(range(0, length(text), 1000))::INT AS st FROM documents WHERE text IS NOT NULL AND text <> '')""")
+def fixed_windows(s, d):
+    return normalize.fixed_windows(table(s, d, "documents"))
+
+
+def _entities(s, d):
+    return en.extract(_chunks(s, d))
+
+
+# Case patterns as maximal word tokens: RE2 knows no Unicode word boundary.
+ENT = CHUNK + r""", tok AS (SELECT doc_id, chunk_id, unnest(regexp_extract_all(text, '[\p{L}\p{M}\p{N}\p{Pc}]+')) AS t FROM chunks_),
+    ents AS (SELECT doc_id, chunk_id, CASE WHEN regexp_full_match(t, '[A-Z]{2,}') THEN 'ORG' ELSE 'PERSON' END AS type, t AS text FROM tok WHERE regexp_full_match(t, '[A-Z]{2,}|[A-Z][a-z]+')
+      UNION ALL SELECT doc_id, chunk_id, 'EMAIL', unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) FROM chunks_
+      UNION ALL SELECT doc_id, chunk_id, 'URL', unnest(regexp_extract_all(text, '(?:https?://|www\.)[^\s]+')) FROM chunks_)"""
+
+
+@query(f"WITH RECURSIVE {ENT} SELECT type, count(*) AS n, count(DISTINCT text) AS n_texts FROM ents GROUP BY type")
+def entity_types(s, d):
+    return _entities(s, d).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("text").alias("n_texts"))
+
+
+@query(f"WITH RECURSIVE {ENT} SELECT doc_id, chunk_id, type, text, count(*) AS n FROM ents GROUP BY ALL")
+def entities(s, d):
+    return _entities(s, d).groupBy("doc_id", "chunk_id", "type", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def entity_offsets(s, d):
+    return _entities(s, d)
+
+
+@query()
+def nearest_links(s, d):
+    return en.links(_entities(s, d))
+
+
+def _mentions(s, d):
+    m = en.numbered(_entities(s, d)).select("doc_id", "chunk_id", "mention_id", "type", "text", "start", "end", "sent_no", "n")
+    return cut(m.withColumn("sent_no", F.floor(F.col("n") / 8).cast("int")))
+
+
+@query()
+def coreference(s, d):
+    return en.resolve(_mentions(s, d))
+
+
+@query()
+def coreference_rules(s, d):
+    return en.resolve(_mentions(s, d)).groupBy("coref_rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def coreference_chains(s, d):
+    m = _mentions(s, d)
+    return en.chains(m, en.resolve(m))
+
+
+@query(f"""WITH RECURSIVE {ENT}, p AS (SELECT doc_id, lower(text) AS k, count(*) AS n FROM ents WHERE type = 'PERSON' GROUP BY ALL) SELECT doc_id, k AS name, n FROM p""")
+def document_people(s, d):
+    return en.people_and_things(_mentions(s, d), "people").select("doc_id", F.lower("name").alias("name"), "n")
+
+
+@query(f"""WITH RECURSIVE {ENT}, p AS (SELECT doc_id, lower(text) AS k, count(*) AS n FROM ents WHERE type = 'ORG' GROUP BY ALL) SELECT k AS name, sum(n)::BIGINT AS n FROM p GROUP BY k ORDER BY n DESC, name LIMIT 10""")
+def top_organizations(s, d):
+    o = en.people_and_things(_mentions(s, d), "orgs").select(F.lower("name").alias("name"), "n")
+    return o.groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(10)
+
+
+@query(rf"""WITH {DOCS}, f AS (SELECT doc_id, coalesce(pages[1], '') AS b FROM docs),
+    v AS (SELECT doc_id, list_concat(list_concat(regexp_extract_all(b, '\b(?:19|20)\d{{2}}-\d{{2}}-\d{{2}}\b'),
+        regexp_extract_all(b, '(?i)\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?\s+\d{{1,2}},\s+(?:19|20)\d{{2}}\b')), regexp_extract_all(b, '\b(?:19|20)\d{{2}}\b'))[1:5] AS ds FROM f)
+    SELECT doc_id, (generate_subscripts(ds, 1) - 1)::INT AS ord, unnest(ds) AS value, CASE WHEN length(unnest(ds)) = 4 THEN 'year' ELSE 'day' END AS grain FROM v""")
+def fallback_dates(s, d):
+    return en.fallback_dates(_docs(s, d))
+
+
+@query(rf"""WITH {DOCS} SELECT doc_id, regexp_extract(source_path, '([^/\\]*)$', 1) AS filename,
+    coalesce(nullif(lower(regexp_extract(regexp_extract(source_path, '([^/\\]*)$', 1), '\.([A-Za-z0-9]+)$', 1)), ''), 'unknown') AS doc_type FROM docs""")
+def document_types(s, d):
+    return en.doc_types(_docs(s, d))
+
+
+GROUPS = rf"""m AS (SELECT mention_id, any_value(doc_id) AS doc_id, any_value(type) AS type, any_value(coalesce(label, '')) AS label FROM mentions WHERE mention_id IS NOT NULL GROUP BY mention_id),
+    k AS (SELECT doc_id, mention_id, upper(coalesce(nullif(regexp_replace(regexp_replace(type, '^{W}+', ''), '{W}+$', ''), ''), 'UNKNOWN')) AS type, label, regexp_replace(regexp_replace(label, '^{W}+', ''), '{W}+$', '') AS trimmed FROM m),
+    sp AS (SELECT doc_id, type, lower(trimmed) AS normalized_label, label, any_value(trimmed) AS trimmed, count(*) AS n, list(mention_id) AS ids FROM k GROUP BY ALL),
+    g AS (SELECT doc_id, type, normalized_label, arg_min(trimmed, (-n, label)) AS name, list_sort(flatten(list(ids))) AS mention_ids FROM sp GROUP BY ALL),
+    h AS (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('combo://entity/' || type || '|' || normalized_label)) AS x FROM g),
+    linked AS (SELECT doc_id, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-5' || substr(x, 14, 3) || '-' || substr('89ab', (('0x' || substr(x, 17, 1))::INT & 3) + 1, 1) || substr(x, 18, 3) || '-' || substr(x, 21, 12) AS canonical_id,
+        type, normalized_label, name, mention_ids FROM h)"""
+
+
+@query(f"WITH {GROUPS} SELECT doc_id, canonical_id, type, normalized_label, name, array_to_string(mention_ids, ',') AS mention_ids FROM linked")
+def link_groups(s, d):
+    return linking.groups(table(s, d, "mentions")).withColumn("mention_ids", F.array_join("mention_ids", ","))
+
+
+@query(f"WITH {GROUPS} SELECT min(canonical_id) AS canonical_id, type, normalized_label, min(name) AS primary_name FROM linked GROUP BY type, normalized_label")
+def registry(s, d):
+    return linking.register(linking.groups(table(s, d, "mentions")))
+
+
+@query(f"""WITH {GROUPS}, c AS (SELECT lower(name) AS normalized_label, min(unnest.id) AS external_id FROM (SELECT name, unnest(external_ids) AS unnest FROM linked_entities WHERE name IS NOT NULL) GROUP BY 1)
+    SELECT l.doc_id, l.canonical_id, CASE WHEN l.type IN ('ORG', 'ORGANIZATION') THEN c.external_id END AS external_id FROM linked l LEFT JOIN c ON c.normalized_label = l.normalized_label""")
+def linked_external_ids(s, d):
+    rows = table(s, d, "linked_entities").where("name IS NOT NULL").select("name", F.explode("external_ids").alias("e"))
+    cache = rows.groupBy(F.lower("name").alias("key")).agg(F.min("e.id").alias("id"))
+    g = linking.external_ids(linking.groups(table(s, d, "mentions")), cache, "registry", ("ORG", "ORGANIZATION"))
+    return g.select("doc_id", "canonical_id", "external_id")
+
+
+@query("""WITH c AS (SELECT chunk_id, any_value(doc_id) AS doc_id, any_value(text) AS text FROM unicode_mixed WHERE text IS NOT NULL GROUP BY chunk_id)
+    SELECT doc_id, chunk_id, 'local-deterministic' AS model, 64 AS dim, sha1(text) AS text_sha1, 64::BIGINT AS n_values FROM c""")
+def local_embeddings(s, d):
+    rows = table(s, d, "unicode_mixed").where("text IS NOT NULL").dropDuplicates(["chunk_id"])
+    e = linking.index(linking.embed_local(rows)).select("chunk_id", F.size("vector").cast("bigint").alias("n_values"))
+    return linking.embed_local(rows).drop("embedding", "truncated").join(e, "chunk_id").select("doc_id", "chunk_id", "model", "dim", "text_sha1", "n_values")
+
+
+# Relations to promote: two matched mentions are partners, their canonical ids the ends.
+KIND = {"ORGANIZATION": "dbo_Organisation", "PERSON": "kb_Person", "LOCATION": "dbo_Location", "FACILITY": "dbo_Location", "PRODUCT": "kb_Tool", "DEVICE": "kb_Component", "SYSTEM": "kb_System"}
+LABEL = {"ORGANIZATION": "Organization", "PERSON": "Person", "LOCATION": "Location", "FACILITY": "Location", "PRODUCT": "Tool", "DEVICE": "Component", "SYSTEM": "System"}
+
+
+def _relations(s, d):
+    of = table(s, d, "linked_entities").where("canonical_id IS NOT NULL").select("canonical_id", "doc_id", F.explode("mention_ids").alias("m")).where("m IS NOT NULL").distinct()
+    mm = table(s, d, "mention_matches").select("mention_a", "mention_b", "score", "matcher").distinct()
+    a, b = of.select(F.col("m").alias("mention_a"), F.col("canonical_id").alias("subj"), "doc_id"), of.select(F.col("m").alias("mention_b"), F.col("canonical_id").alias("obj"))
+    rel = mm.join(a, "mention_a").join(b, "mention_b")
+    predicate = F.when(F.col("matcher") == "manual", "RELATED_TO").when(F.col("score") > 0.8, "SEEKS_PARTNER").otherwise("BOGUS")
+    return rel.select("subj", predicate.alias("predicate"), "obj", "doc_id", F.col("mention_a").alias("sent_id"), F.concat_ws("~", "mention_a", "mention_b").alias("mention_id"), F.round("score", 4).alias("confidence"))
+
+
+def _canonical(s, d):
+    e = table(s, d, "linked_entities").where("canonical_id IS NOT NULL").groupBy("canonical_id").agg(F.min("type").alias("t"), F.min("name").alias("name"))
+    kind = F.create_map(*[F.lit(x) for kv in KIND.items() for x in kv])
+    label = F.create_map(*[F.lit(x) for kv in LABEL.items() for x in kv])
+    key = F.create_map(F.lit("name"), "name", F.lit("uri"), F.concat(F.lit("urn:"), "canonical_id"))
+    return e.select("canonical_id", kind[F.col("t")].alias("type"), F.array(label[F.col("t")]).alias("labels"), key.alias("key"))
+
+
+RELS = """o AS (SELECT DISTINCT canonical_id, doc_id, m FROM (SELECT canonical_id, doc_id, unnest(mention_ids) AS m FROM linked_entities WHERE canonical_id IS NOT NULL) WHERE m IS NOT NULL),
+    mm AS (SELECT DISTINCT mention_a, mention_b, score, matcher FROM mention_matches),
+    rel AS (SELECT a.canonical_id AS subj, CASE WHEN matcher = 'manual' THEN 'RELATED_TO' WHEN score > 0.8 THEN 'SEEKS_PARTNER' ELSE 'BOGUS' END AS predicate, b.canonical_id AS obj, a.doc_id, mention_a AS sent_id, round(score, 4) AS confidence
+        FROM mm JOIN o a ON a.m = mention_a JOIN o b ON b.m = mention_b),
+    ev AS (SELECT subj, predicate, obj, avg(coalesce(CASE WHEN isnan(confidence) THEN NULL ELSE confidence END, 0)::DECIMAL(20, 17)) AS avg_confidence, count(DISTINCT nullif(sent_id, '')) AS ev_count, count(DISTINCT doc_id) AS doc_count FROM rel WHERE subj <> '' AND obj <> '' GROUP BY ALL)"""
+
+
+def _gated(s, d):
+    rel = _relations(s, d).withColumn("confidence", F.nanvl("confidence", F.lit(None).cast("double")))
+    return promotion.gate(promotion.evidence(rel), _canonical(s, d), promotion.rules(s))
+
+
+@query(f"WITH {RELS} SELECT subj, predicate, obj, round(avg_confidence, 6) AS avg_confidence, ev_count, doc_count FROM ev")
+def relation_evidence(s, d):
+    rel = _relations(s, d).withColumn("confidence", F.nanvl("confidence", F.lit(None).cast("double")))
+    return promotion.evidence(rel).select("subj", "predicate", "obj", F.round(F.col("avg_confidence").cast("double"), 6).alias("avg_confidence"), "ev_count", "doc_count")
+
+
+@query()
+def promoted_facts(s, d):
+    return promotion.facts(_gated(s, d))
+
+
+@query()
+def promoted_entities(s, d):
+    own = _relations(s, d).groupBy(F.col("subj").alias("canonical_id")).agg(F.count_distinct("sent_id").alias("ev_count"))
+    return promotion.promoted_entities(promotion.facts(_gated(s, d)), own)
+
+
+@query()
+def quarantined_relations(s, d):
+    return promotion.quarantine(_gated(s, d))
+
+
+@query()
+def quarantine_summary(s, d):
+    return promotion.quarantine_summary(promotion.quarantine(_gated(s, d)))
+
+
+@query()
+def preflight(s, d):
+    rel = _relations(s, d).withColumn("confidence", F.nanvl("confidence", F.lit(None).cast("double")))
+    return promotion.preflight(promotion.evidence(rel), _canonical(s, d), promotion.rules(s))
+
+
+@query()
+def title_sections(s, d):
+    return el.title_sections(table(s, d, "rder_elements"))
+
+
+@query("""WITH e AS (SELECT element_id, any_value(filename) AS filename, any_value(coalesce(metadata.page_number, 0)) AS page, any_value(ord) AS ord, any_value(type) AS type, any_value(text) AS text FROM rder_elements WHERE element_id IS NOT NULL GROUP BY element_id)
+    SELECT filename, page, string_agg(CASE type WHEN 'Title' THEN '## ' || text WHEN 'ListItem' THEN '- ' || text WHEN 'Table' THEN '[TABLE ON PAGE ' || page || ']' ELSE text END, chr(10) ORDER BY ord, element_id) AS markdown
+    FROM e WHERE text IS NOT NULL GROUP BY ALL""")
+def page_markdown(s, d):
+    return el.page_markdown(table(s, d, "rder_elements"))
+
+
+@query("""WITH i AS (SELECT doc_id, unnest(imgs) AS i FROM (SELECT doc_id, any_value(images) AS imgs FROM extracted_docs WHERE doc_id IS NOT NULL GROUP BY doc_id))
+    SELECT doc_id, i.page AS page, i.sha1 AS sha1, greatest(i.bbox[1] - 20, 0) AS x0, greatest(i.bbox[2] - 20, 0) AS y0, least(i.bbox[3] + 20, 612) AS x1, least(i.bbox[4] + 20, 792) AS y1
+    FROM i WHERE len(i.bbox) = 4 AND i.bbox[3] - i.bbox[1] >= 150 AND i.bbox[4] - i.bbox[2] >= 150""")
+def picture_boxes(s, d):
+    return el.boxes(table(s, d, "extracted_docs"))
+
+
+@query()
+def merged_boxes(s, d):
+    return el.merge_boxes(el.boxes(table(s, d, "extracted_docs")))
+
+
+@query(f"""WITH {DOCS}, p AS (SELECT doc_id, unnest(pages) AS body, generate_subscripts(pages, 1)::INT AS page FROM docs),
+    k AS (SELECT *, (contains(lower(body), 'funding')::INT + contains(lower(body), 'cost share')::INT + contains(lower(body), 'fiscal year')::INT + contains(lower(body), 'fy2')::INT + contains(lower(body), 'budget')::INT + contains(lower(body), 'milestones')::INT) AS keyword_hits, (length(body) - length(replace(body, '$', '')))::INT AS dollars FROM p)
+    SELECT doc_id, page, length(regexp_replace(regexp_replace(body, '^{W}+', ''), '{W}+$', '')) < 50 AS is_scan, keyword_hits::INT AS keyword_hits, dollars, keyword_hits >= 2 OR dollars >= 3 AS is_financial FROM k""")
+def page_signals(s, d):
+    return el.signals(table(s, d, "extracted_docs"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(Q)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
