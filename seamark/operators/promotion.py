@@ -10,24 +10,83 @@ MOST_MENTIONS, MOST_EXAMPLES = 20, 3
 # The relations of the default contract (domain -> range), '*' for any.
 RELATIONS = {
     "DEVELOPS": ("Organization,Person", "Technology,System,Component,Tool,Asset"),
+    "PROVIDES": ("Organization,Service", "Service,Capability,Tool,Technology"),
+    "SPONSORS": ("Organization,Person", "Program,Project,Portfolio"),
     "OPERATES": ("Organization", "System,Service,Asset"),
     "LOCATED_IN": ("Organization,Project,Person,Asset,System,Component", "Location,kb_Location"),
+    "BASED_IN": ("Organization", "Location,kb_Location"),
     "MEMBER_OF": ("Person", "Organization,Program,Project"),
+    "USES_TOOL": ("Person,Organization,Project,System", "Tool"),
+    "ADHERES_TO": ("Organization,Project,System,Process", "Standard"),
+    "RESPONDED_TO": ("Organization", "RFI"),
+    "FUNDS": ("Organization,Program", "Project,Program"),
+    "DELIVERS": ("Organization,Project,Contract", "Deliverable"),
     "USES": ("Project,System,Component,Organization", "Technology,Tool,Service,Standard"),
+    "HAS_REQUIREMENT": ("Project,System,Component,Program,RFI,Technology", "Requirement"),
     "SEEKS_PARTNER": ("Organization,Project", "Organization"),
+    "ENABLES": ("Capability,Technology,System", "Capability,Project"),
+    "LEVERAGES": ("Project,Organization,System", "Capability,Technology,Tool"),
+    "HAS_PROPERTY": ("Technology,System,Component,Asset", "Property"),
+    "DESIGNED_FOR": ("System,Component,Technology", "Environment,Scenario,Threat"),
+    "CLASSIFIED_AS": ("Technology,System,Threat,Domain", "Domain,Threat,Capability"),
+    "APPLIES_TO": ("Standard,Requirement", "Technology,System,Project"),
+    "SUPPORTS": ("Capability,Service,Technology", "Project,Capability"),
+    "PROTECTS": ("System,Technology", "Asset,Threat,Project"),
+    "ACTS_UPON": ("Technology,System", "Threat,Environment"),
     "INTEGRATES_WITH": ("System,Technology,Component", "System,Technology,Component"),
+    "PROVIDES_CAPABILITY": ("System,Technology,Service,Organization", "Capability"),
+    "SERVICES": ("Organization", "Organization,Project"),
     "PART_OF": ("Component,System,Project", "System,Project,Portfolio"),
+    "COMPOSED_OF": ("System,Asset", "Component,Asset"),
+    "ACTS_AGAINST": ("System,Technology", "Threat"),
+    "RELATED_TO": ("*", "*"),
+    "FOR_TECHNOLOGY": ("Requirement,RFI,Document", "Technology"),
+    "ISSUED_BY": ("RFI,Contract", "Organization"),
+    "ABOUT": ("Document", "Project,Technology,System,Capability,Requirement"),
+    "SEEKS": ("RFI", "Capability,Technology,Service"),
+    "ASKS_ABOUT": ("RFI", "Requirement,Standard,Capability,Technology"),
+    "RELATED_TO_TECHNOLOGY": ("*", "Technology"),
+    "HAS_MILESTONE": ("Project,Program,Contract", "Milestone"),
+    "HAS_DELIVERABLE": ("Project,Contract,RFI", "Deliverable"),
     "STARTS_AT_TRL": ("Project,Program,Technology,System", "TRL"),
     "ENDS_AT_TRL": ("Project,Program,Technology,System", "TRL"),
-    "RELATED_TO": ("*", "*"),
+    "WORDS_FOR": ("Document", "Organization,Project,Technology,System,RFI,Contract"),
+    "IS_POC_FOR": ("Person", "Project,Program,Organization,RFI"),
+    "VARIANT_OF": ("System,System_Variant,kb_System_Variant", "System,kb_System"),
+    "ALIGNED_WITH": ("Project,Program,Organization,Standard", "Standard,Domain,Program"),
+    "ENDORSED_BY": ("Technology,System,Standard", "Organization,Person"),
 }
-# The key fields of the default contract's entity types, with a value range for TRL.
+# Labels and key fields of the default contract's entity types, with a value range for TRL.
 ENTITY_TYPES = {
-    "dbo_Organisation": ("Organization", "uri", None), "dbo_Location": ("kb_Location,Location", "uri,name", None), "dbo_Technology": ("kb_Technology,Technology", "uri", None),
-    "kb_Program": ("Program", "name", None), "kb_Project": ("Project", "code", None), "kb_Portfolio": ("Portfolio", "name", None), "kb_Person": ("Person", "email", None),
-    "kb_System": ("kb_Asset,Asset,System", "name", None), "kb_Component": ("Component", "name", None), "kb_Tool": ("Tool", "name", None), "kb_Standard": ("Standard", "name", None),
-    "kb_Requirement": ("Requirement", "id", None), "kb_TRL": ("TRL", "value", (1, 9)), "kb_RFI": ("RFI", "rfi_id", None),
-}
+    "dbo_Organisation": ("Organization", "uri", None),
+    "dbo_Location": ("kb_Location,Location", "uri,name", None),
+    "dbo_Technology": ("kb_Technology,Technology", "uri", None),
+    "kb_Program": ("Program", "name", None),
+    "kb_Project": ("Project", "code", None),
+    "kb_Portfolio": ("Portfolio", "name", None),
+    "kb_Person": ("Person", "email", None),
+    "kb_Capability": ("Capability", "name", None),
+    "kb_Asset": ("Asset", "name", None),
+    "kb_System": ("kb_Asset,Asset,System", "name", None),
+    "kb_System_Variant": ("kb_System,kb_Asset,Asset,System,System_Variant", "name", None),
+    "kb_Component": ("Component", "name", None),
+    "kb_Tool": ("Tool", "name", None),
+    "kb_Threat": ("Threat", "name", None),
+    "kb_Property": ("Property", "name", None),
+    "kb_Environment": ("Environment", "name", None),
+    "kb_Service": ("Service", "name", None),
+    "kb_Domain": ("Domain", "name", None),
+    "kb_Standard": ("Standard", "name", None),
+    "kb_Requirement": ("Requirement", "id", None),
+    "kb_TRL": ("TRL", "value", (1, 9)),
+    "kb_RFI": ("RFI", "rfi_id", None),
+    "kb_Contract": ("Contract", "name", None),
+    "kb_Milestone": ("Milestone", "name", None),
+    "kb_Scenario": ("Scenario", "name", None),
+    "kb_Deliverable": ("Deliverable", "name", None),
+    "kb_Document": ("kb_Deliverable,Deliverable,Document", "name", None),
+    "kb_Prototype": ("kb_Deliverable,Deliverable,Prototype", "name", None),
+}
 
 
 def rules(spark: SparkSession, relations: dict | None = None, entity_types: dict | None = None) -> tuple[DataFrame, DataFrame]:
