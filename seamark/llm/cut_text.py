@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from seamark.functions.dist import cut, lookup_join, map_groups
 
-ORDERS = (2, 4, 7, 10, 13, 15, 17, 18, 19, 21, 22, 23, 24, 26, 28)
+ORDERS = (2, 4, 7, 10, 13, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 26, 28)
 BLOOM_BITS = 1 << 26
 BLOCK = 1 << 18  # bits of the filter in one row while it is built
 MARK = re.compile(r"(?:\s*(?:\[[^\[\]\n]{0,40}\]|<[^<>\n]{0,40}>|\((?:\.\.\.|…)\)|…|\.{3,}))+\s*$")
