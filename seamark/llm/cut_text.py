@@ -141,7 +141,7 @@ def bloom(contexts: DataFrame) -> np.ndarray:
     return whole.reshape(-1)
 
 
-def count_contexts(texts: DataFrame, bits: np.ndarray, chars: int = 4_000_000) -> DataFrame:
+def count_contexts(texts: DataFrame, bits: np.ndarray, chars: int = 2_000_000) -> DataFrame:
     """``order, h, n, ends`` over every position of every text: seen, and ended there."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(bits)
