@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from seamark.functions.text import or_else, strip, uuid5_url
 
 
+# Fixed value: what stands before type and label in the name that a canonical id is the UUID of.
+ID_PREFIX = "combo://entity/"
+
+
 def canonical_id(kind, label):
-    return uuid5_url(F.concat(F.lit("combo://entity/"), kind, F.lit("|"), label))
+    return uuid5_url(F.concat(F.lit(ID_PREFIX), kind, F.lit("|"), label))
 
 
 def groups(mentions: DataFrame) -> DataFrame:
