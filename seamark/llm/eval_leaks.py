@@ -1,10 +1,10 @@
 """Evaluation passages inside training text (problem 9).
 
 Both sides are brought to one form (look-alike letters, widths and invisible characters unified,
-case and punctuation dropped). Seeds are the word trigrams of the items that are rare: at most
-``max_items`` items share them, and at most ``max_share`` of the documents hold them or they are
-in the rarer half of their item's seeds, so stock phrases never start a comparison. Documents are joined to the
-items on seeds; each pair with two seeds or more is aligned by Smith-Waterman over words.
+case and punctuation dropped). Seeds are the word trigrams of the items that are rare among the
+items: at most ``max_items`` of them share one. How many documents hold a seed never counts, so a
+passage copied into very many documents is found in each. Documents are joined to the items on
+seeds; each pair with two seeds or more is aligned by Smith-Waterman over words.
 
 The items are held-out material of a fixed size (a few hundred texts here): their seed table is
 broadcast below ``broadcast_rows`` seeds and joined with a shuffle above it. A local alignment is
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions.dist import cut, n_partitions
@@ -97,7 +97,7 @@ def covered(doc: list[str], item: list[str], weights: list[float], min_run: int
     return total / len(item), weight / w.sum()
 
 
-def leaks(docs: DataFrame, items: DataFrame, min_cover: float = 0.5, slack: float = 0.06, min_rare_cover: float = 0.42, min_seeds: int = 2, max_share: float = 0.001, max_items: int = 3, broadcast_rows: int = 200_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, min_cover: float = 0.5, slack: float = 0.06, min_rare_cover: float = 0.42, min_seeds: int = 2, max_items: int = 3, broadcast_rows: int = 200_000) -> DataFrame:
     """``doc_id, item_id, cover`` of every document that holds a passage of an item.
 
     ``slack`` is allowed for the words that a light edit changes inside a copied passage.
@@ -108,15 +108,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_cover: float = 0.5, slack: floa
     few = item_seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n_items")).where(F.col("n_items") <= max_items)
     small = item_seeds.count() <= broadcast_rows
     side = lambda x: F.broadcast(x) if small else x
-    hits = seeds_of(d).withColumnRenamed("id", "doc_id").join(side(few.select("seed")), "seed", "left_semi")
-    hits = cut(hits)
-    n_docs = d.count()
-    held = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
-    # The rarer half of an item's seeds always counts, so an item copied into very many documents keeps its seeds.
-    place = F.percent_rank().over(Window.partitionBy("item_id").orderBy(F.coalesce("n", F.lit(0)), "seed"))
-    ranked = item_seeds.join(side(few.select("seed")), "seed", "left_semi").join(held, "seed", "left").withColumn("place", place)
-    rare = ranked.where((F.col("n") <= F.greatest(F.lit(50.0), F.lit(max_share * n_docs))) | (F.col("place") <= 0.5)).select("seed").distinct()
-    pairs = hits.join(side(rare), "seed", "left_semi").join(side(item_seeds), "seed").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_seeds)
+    seeds = cut(item_seeds.join(few.select("seed"), "seed", "left_semi"))
+    hits = seeds_of(d).withColumnRenamed("id", "doc_id").join(side(seeds), "seed")
+    pairs = hits.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_seeds)
     # A word's weight: how few of the items have it. Stock words of the items weigh next to nothing.
     n_items = it.count()
     df = it.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df"))

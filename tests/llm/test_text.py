@@ -86,6 +86,15 @@ def test_leaks(spark):
     assert eval_leaks.leaks(d.where("false"), items).count() == 0
 
 
+def test_leaks_of_hot_half_passages(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(4)]
+    half = " ".join(items[0][1].split()[:20])
+    docs = [(n, " ".join(f"d{n}x{k}" for k in range(15)) + (f" {half} " if n % 3 == 0 else " ") + f"end {n} of it") for n in range(300)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in eval_leaks.leaks(d, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {(n, 0) for n in range(0, 300, 3)}
+
+
 # cut_text
 def test_cut(spark):
     body = [f"The crew of ship {w} checked the {x} before noon. The {x} was in good order." for w in ("Alda", "Borin", "Cora", "Dena") for x in ("mast", "rudder", "winch", "anchor", "galley")]
