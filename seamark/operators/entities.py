@@ -24,10 +24,10 @@ DEVICE_WORDS = "drone|system|device|battery|pack|railgun|prototype"
 THINGS = "DEVICE PRODUCT EQUIPMENT VEHICLE WEAPON SYSTEM PLATFORM TOOL SOFTWARE HARDWARE COMPONENT MATERIAL SENSOR PAYLOAD AIRCRAFT VESSEL SHIP BOAT UAV UAS DRONE SATELLITE MISSILE PROTOTYPE MODEL ALGORITHM METHOD PROCESS".split()
 
 
-def extract(chunks: DataFrame) -> DataFrame:
-    """``id, doc_id, chunk_id, type, text, start, end, conf, source_sha1`` of every entity in a chunk."""
-    found = [chunks.select("doc_id", "chunk_id", F.sha1("text").alias("source_sha1"), F.lit(t).alias("type"), F.explode(matches(F.col("text"), p)).alias("m")) for t, p in PATTERNS.items()]
-    e = reduce(DataFrame.unionByName, found).select("doc_id", "chunk_id", "type", F.col("m.text").alias("text"), F.col("m.a").alias("start"), (F.col("m.a") + F.length("m.text")).alias("end"), F.lit(0.8).alias("conf"), "source_sha1")
+def extract(chunks: DataFrame, *keep: str) -> DataFrame:
+    """``id, doc_id, chunk_id, type, text, start, end, conf, source_sha1`` of every entity in a chunk, and the chunk's columns ``keep``."""
+    found = [chunks.select("doc_id", "chunk_id", *keep, F.sha1("text").alias("source_sha1"), F.lit(t).alias("type"), F.explode(matches(F.col("text"), p)).alias("m")) for t, p in PATTERNS.items()]
+    e = reduce(DataFrame.unionByName, found).select("doc_id", "chunk_id", "type", F.col("m.text").alias("text"), F.col("m.a").alias("start"), (F.col("m.a") + F.length("m.text")).alias("end"), F.lit(0.8).alias("conf"), "source_sha1", *keep)
     return e.withColumn("id", short_sha1("doc_id", "chunk_id", "start", "end", "text"))
 
 
@@ -116,6 +116,8 @@ def doc_types(docs: DataFrame) -> DataFrame:
 
 
 def numbered(entities: DataFrame) -> DataFrame:
-    """Entities as mentions: ``mention_id`` and ``n``, their place in the document."""
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("chunk_id", "start", "end", "type"))
+    """Entities with their chunk's ``ord`` as mentions: ``mention_id`` and ``n``, their place in the document.
+
+    Entities carry no sentence, so ``sent_no`` is constant and only the number of mentions bounds the look-back."""
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("ord", "start", "end", "type"))
     return entities.withColumns({"mention_id": F.concat_ws(":", "doc_id", "chunk_id", F.concat_ws("-", "start", "end"), "type"), "n": place, "sent_no": F.lit(0)})

@@ -123,8 +123,8 @@ def nearest_links(s, d):
 
 
 def _mentions(s, d):
-    m = en.numbered(_entities(s, d)).select("doc_id", "chunk_id", "mention_id", "type", "text", "start", "end", "sent_no", "n")
-    return cut(m.withColumn("sent_no", F.floor(F.col("n") / 8).cast("int")))
+    m = en.numbered(en.extract(_chunks(s, d), "ord"))
+    return cut(m.select("doc_id", "chunk_id", "mention_id", "type", "text", "start", "end", "sent_no", "n"))
 
 
 @query()

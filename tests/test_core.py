@@ -79,6 +79,37 @@ def test_long_chain_is_one(spark):
     assert len(c) == 11 and {r.chain_id for r in c} == {"m1"}
 
 
+def test_coreference_query_against_brute_force(spark, tmp_path):
+    from seamark.plans import queries
+
+    rng = random.Random(4)
+    word = lambda: rng.choice(["It", "She", "Him", "They", "Jane", "Bob", "Drone", "Boats", "ACME"]) if rng.random() < 0.12 else rng.choice(["went", "to", "see", "near", "now"])
+    pages = [[" ".join(" ".join([*(word() for _ in range(12)), "then."]) for _ in range(70)) for _ in range(3)] for _ in range(4)]
+    # A doc whose only name lies 29 mentions before its pronoun.
+    pages.append(["Jane met " + "Boats " * 28 + "and She left."])
+    spark.createDataFrame([(f"d{i}", "", p, None) for i, p in enumerate(pages)], PAGES).write.parquet(str(tmp_path / "extracted_docs.parquet"))
+    q = queries.queries()
+    place = {r.chunk_id: r.ord for r in q["token_chunks"](spark, str(tmp_path)).collect()}
+    by_doc = {}
+    for r in sorted(q["entity_offsets"](spark, str(tmp_path)).collect(), key=lambda r: (place[r.chunk_id], r.start, r.end, r.type)):
+        by_doc.setdefault(r.doc_id, []).append(r)
+    # Per pronoun: plural or not, genders that fit, whether devices come first.
+    forms = {"it": (False, None, True), "she": (False, "fem", False), "him": (False, "masc", False), "they": (True, None, False)}
+    gender = {"jane": "fem", "she": "fem", "bob": "masc", "him": "masc", "it": "neut"}
+    want = {}
+    for rows in by_doc.values():
+        for i, r in enumerate(rows):
+            if r.text.lower() not in forms:
+                continue
+            plural, who, device = forms[r.text.lower()]
+            fits = [c for c in reversed(rows[max(0, i - 30) : i]) if (c.text in ("They", "Boats")) == plural and (who is None or gender.get(c.text.lower(), "unknown") in (who, "unknown"))]
+            best = next((c for c in fits if device and c.text == "Drone"), fits[0] if fits else None)
+            key = lambda c: f"{c.doc_id}:{c.chunk_id}:{c.start}-{c.end}:{c.type}"
+            want[key(r)] = best and key(best)
+    got = {r.mention_id: r.antecedent_mention_id for r in q["coreference"](spark, str(tmp_path)).collect()}
+    assert max(place.values()) >= 2 and got == want
+
+
 def test_dates_and_types(spark, docs):
     d = spark.createDataFrame([("x", ["Made 2024-05-06, on March 3, 2021 and in 1999."])], "doc_id string, pages array<string>")
     got = [(r.value, r.grain) for r in entities.fallback_dates(d).orderBy("ord").collect()]
