@@ -112,17 +112,25 @@ def evidence(mentions: DataFrame, qualify_by_doc: bool = False) -> DataFrame:
     return m.groupBy("subj", "predicate", "obj").agg(exact.alias("avg_confidence"), F.count_distinct(sent).alias("ev_count"), F.count_distinct("doc_id").alias("doc_count"), first.alias("mentions"))
 
 
+def _checked(canonical: DataFrame, ent: DataFrame) -> DataFrame:
+    """``canonical`` with ``known`` (its type is in the contract), ``missing`` (merge keys that are absent or empty),
+    ``absent`` (a key field is absent from the key) and ``ok`` (type known, value in range)."""
+    rows = canonical.join(F.broadcast(ent.drop("labels")), "type", "left")  # the contract's size
+    known = F.col("key_fields").isNotNull()
+    empty = F.filter("key_fields", lambda f: F.coalesce(F.element_at("key", f), F.lit("")) == "")
+    absent = F.exists("key_fields", lambda f: ~F.coalesce(F.map_contains_key("key", f), F.lit(False)))
+    value = F.col("key")["value"].try_cast("double")
+    in_range = known & F.when(F.col("lo").isNull(), True).otherwise(F.coalesce(value.between(F.col("lo"), F.col("hi")), F.lit(False)))
+    missing = F.when(known, empty).otherwise(F.expr("cast(array() as array<string>)"))
+    return rows.select(*canonical.columns, known.alias("known"), missing.alias("missing"), F.coalesce(absent, F.lit(True)).alias("absent"), in_range.alias("ok"))
+
+
 def gate(groups: DataFrame, canonical: DataFrame, contract: tuple[DataFrame, DataFrame], conf_thr: float = 0.7, min_ev: int = 2) -> DataFrame:
     """``groups`` with ``reasons``, all gates that a relation fails, sorted; empty for a fact.
 
     ``canonical`` has ``canonical_id, type, labels, key map<string,string>``, one row for each id."""
     rel, ent = contract
-    ends = canonical.join(F.broadcast(ent.drop("labels")), "type", "left")  # the contract's size
-    missing = F.filter("key_fields", lambda f: F.coalesce(F.element_at("key", f), F.lit("")) == "")
-    value = F.col("key")["value"].try_cast("double")
-    known = F.col("key_fields").isNotNull()
-    in_range = known & F.when(F.col("lo").isNull(), True).otherwise(F.coalesce(value.between(F.col("lo"), F.col("hi")), F.lit(False)))
-    ends = ends.select("canonical_id", "labels", F.when(known, missing).otherwise(F.expr("cast(array() as array<string>)")).alias("missing"), in_range.alias("ok"))
+    ends = _checked(canonical, ent)
     side = lambda p: ends.select(F.col("canonical_id").alias(p), F.col("labels").alias(f"{p}_labels"), F.col("missing").alias(f"{p}_missing"), F.col("ok").alias(f"{p}_ok"))
     g = groups.join(side("subj"), "subj", "left").join(side("obj"), "obj", "left").join(F.broadcast(rel), "predicate", "left")
     lost = lambda p: F.col(f"{p}_labels").isNull()
@@ -150,18 +158,47 @@ def quarantine(gated: DataFrame) -> DataFrame:
     return gated.where(F.size("reasons") > 0).withColumn("examples", F.slice("mentions", 1, MOST_EXAMPLES)).drop("mentions")
 
 
-def quarantine_summary(quarantined: DataFrame) -> DataFrame:
-    """``kind, name, n``: how often each reason and each predicate occurs."""
+def quarantine_summary(quarantined: DataFrame, entities: DataFrame | None = None) -> DataFrame:
+    """``kind, name, n``: how often each reason and each predicate occurs; with quarantined ``entities``
+    also how often each of their reasons and types does (kinds ``entity_reason`` and ``entity_type``)."""
     by_reason = quarantined.select(F.lit("reason").alias("kind"), F.explode("reasons").alias("name"))
-    return by_reason.unionByName(quarantined.select(F.lit("predicate").alias("kind"), F.col("predicate").alias("name"))).groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"))
+    rows = by_reason.unionByName(quarantined.select(F.lit("predicate").alias("kind"), F.col("predicate").alias("name")))
+    if entities is not None:
+        rows = rows.unionByName(entities.select(F.lit("entity_reason").alias("kind"), F.explode("reasons").alias("name")))
+        rows = rows.unionByName(entities.select(F.lit("entity_type").alias("kind"), F.col("type").alias("name")))
+    return rows.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
-def promoted_entities(fact_rows: DataFrame, entity_evidence: DataFrame, min_ev: int = 2) -> DataFrame:
+def entity_candidates(fact_rows: DataFrame, entity_evidence: DataFrame, min_ev: int = 2) -> DataFrame:
     """Distinct ids: ends of facts, and entities with enough evidence of their own."""
     ends = fact_rows.select(F.explode(F.array("subj", "obj")).alias("canonical_id"))
     return ends.unionByName(entity_evidence.where(F.col("ev_count") >= min_ev).select("canonical_id")).distinct()
 
 
+def gate_entities(candidates: DataFrame, canonical: DataFrame, contract: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """``canonical_id, type, labels, reasons`` of each candidate id; no reasons for a promoted one.
+
+    The contract's required fields are its key fields, so the key alone tells whether they are present."""
+    rows = candidates.join(_checked(canonical, contract[1]).withColumn("listed", F.lit(True)), "canonical_id", "left")
+    listed = F.col("listed").isNotNull()
+    reasons = F.array_compact(F.array(
+        F.when(~listed, "missing_object"),
+        F.when(listed & (F.size("missing") > 0), F.concat(F.lit("missing_keys:"), F.array_join("missing", ","))),
+        F.when(listed & F.col("absent"), "missing_entity_keys"),
+        F.when(listed & ~F.col("ok"), "type_constraint_failed"),
+    ))
+    return rows.select("canonical_id", "type", F.sort_array(F.array_distinct("labels")).alias("labels"), F.sort_array(reasons).alias("reasons"))
+
+
+def promoted_entities(gated_entities: DataFrame) -> DataFrame:
+    """Ids of the entities that pass all gates."""
+    return gated_entities.where(F.size("reasons") == 0).select("canonical_id")
+
+
+def quarantined_entities(gated_entities: DataFrame) -> DataFrame:
+    return gated_entities.where(F.size("reasons") > 0)
+
+
 def preflight(groups: DataFrame, canonical: DataFrame, contract: tuple[DataFrame, DataFrame], conf_thr: float = 0.7, min_ev: int = 2) -> DataFrame:
     """One row of counters over all groups; ``blockers`` is what must be zero before promotion."""
     g = gate(groups, canonical, contract, conf_thr, min_ev)

@@ -249,10 +249,14 @@ def promoted_facts(s, d):
     return promotion.facts(_gated(s, d))
 
 
+def _gated_entities(s, d, gated):
+    own = _relations(s, d).groupBy(F.col("subj").alias("canonical_id")).agg(F.count_distinct("sent_id").alias("ev_count"))
+    return promotion.gate_entities(promotion.entity_candidates(promotion.facts(gated), own), _canonical(s, d), promotion.rules(s))
+
+
 @query()
 def promoted_entities(s, d):
-    own = _relations(s, d).groupBy(F.col("subj").alias("canonical_id")).agg(F.count_distinct("sent_id").alias("ev_count"))
-    return promotion.promoted_entities(promotion.facts(_gated(s, d)), own)
+    return promotion.promoted_entities(_gated_entities(s, d, _gated(s, d)))
 
 
 @query()
@@ -260,9 +264,15 @@ def quarantined_relations(s, d):
     return promotion.quarantine(_gated(s, d))
 
 
+@query()
+def quarantined_entities(s, d):
+    return promotion.quarantined_entities(_gated_entities(s, d, _gated(s, d)))
+
+
 @query()
 def quarantine_summary(s, d):
-    return promotion.quarantine_summary(promotion.quarantine(_gated(s, d)))
+    gated = cut(_gated(s, d))
+    return promotion.quarantine_summary(promotion.quarantine(gated), promotion.quarantined_entities(_gated_entities(s, d, gated)))
 
 
 @query()

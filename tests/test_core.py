@@ -152,6 +152,26 @@ def test_promotion_gates(spark):
     assert {(r.name, r.n) for r in promotion.quarantine_summary(promotion.quarantine(g)).where("kind = 'predicate'").collect()} == {("BOGUS", 1), ("STARTS_AT_TRL", 1)}
 
 
+def test_entity_gates(spark):
+    can = spark.createDataFrame([("ok", "kb_System", ["System", "Asset"], {"name": "S"}), ("p", "kb_Person", ["Person"], {"name": "P"}), ("e", "kb_Tool", ["Tool"], {"name": ""}), ("t", "kb_TRL", ["TRL"], {"value": "11"}), ("u", None, [None], {"name": "U"}), ("k", "kb_Tool", ["Tool"], None)], "canonical_id string, type string, labels array<string>, key map<string,string>")
+    rows = spark.createDataFrame([("ok", "e")], "subj string, obj string")
+    own = spark.createDataFrame([(i, 2) for i in ("ok", "p", "t", "u", "k", "lost")] + [("few", 1)], "canonical_id string, ev_count int")
+    g = promotion.gate_entities(promotion.entity_candidates(rows, own), can, promotion.rules(spark))
+    assert {r.canonical_id for r in promotion.promoted_entities(g).collect()} == {"ok"}
+    q = promotion.quarantined_entities(g)
+    assert {r.canonical_id: r.reasons for r in q.collect()} == {
+        "p": ["missing_entity_keys", "missing_keys:email"],
+        "e": ["missing_keys:name"],
+        "t": ["type_constraint_failed"],
+        "u": ["missing_entity_keys", "type_constraint_failed"],
+        "k": ["missing_entity_keys", "missing_keys:name"],
+        "lost": ["missing_object"],
+    }
+    none = spark.createDataFrame([], "predicate string, reasons array<string>")
+    got = {(r.kind, r.name): r.n for r in promotion.quarantine_summary(none, q).collect()}
+    assert got["entity_reason", "missing_entity_keys"] == 3 and got["entity_reason", "missing_object"] == 1 and got["entity_type", "kb_Tool"] == 2
+
+
 def test_boxes_signals_and_text(spark):
     b = spark.createDataFrame([("d", 1, 0.0, 0.0, 10.0, 10.0), ("d", 1, 40.0, 0.0, 60.0, 10.0), ("d", 1, 400.0, 400.0, 410.0, 410.0), ("e", None, 0.0, 0.0, 1.0, 1.0)], "doc_id string, page int, x0 double, y0 double, x1 double, y1 double")
     assert sorted((r.x0, r.x1) for r in elements.merge_boxes(b).collect()) == [(0.0, 60.0), (400.0, 410.0)]
