@@ -70,11 +70,11 @@ def lines_of(body: str) -> list[str]:
     return [x[:-1] if x.endswith("\r") else x for x in body.split("\n")]
 
 
-def symbols(pages: list[tuple[int | None, str]], repeated: bool | None) -> list[tuple[int, int, str, str]]:
+def symbols(pages: list[tuple[int | None, str]], repeated: list[str] | None) -> list[tuple[int, int, str, str]]:
     """``page index, line number, line, symbol`` for every line of a record.
 
-    ``repeated`` tells for a slide element whether its line returns on other pages of its file; for a
-    document (None) that is found out from its own pages."""
+    ``repeated`` has for a slide element the signatures of its first and last line that return on other
+    pages of its file; for a document (None) that is found out from its own pages."""
     split = [lines_of(b or "") for _, b in pages]
     seen: dict[str, int] = {}
     if repeated is None:
@@ -105,7 +105,7 @@ def symbols(pages: list[tuple[int | None, str]], repeated: bool | None) -> list[
             elif repeated is None:
                 rep = seen.get(s, 0) > 1 and len(s) > 5 or any(abs(len(o) - len(s)) < 3 and osa(o, s, 2) <= 2 for o in often)
             else:
-                rep = repeated
+                rep = s in repeated
             plainly = "w" if not re.search(r"[A-Za-z]", t) or re.fullmatch(r"\d+", t) else ""
             out.append((i, k + 1, x, f"{edge}{num}{same}{'c' if titled(t) else 'l'}{'r' if rep else '-'}{plainly}"))
     return out
@@ -148,18 +148,27 @@ def scanned(docs: DataFrame, elements: DataFrame) -> DataFrame:
     """``rec, pages, rep``: scanned documents and slide elements as records of pages."""
     d = docs.where("extractor = 'ocr' AND doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     body = F.coalesce("pages", F.array("text"))
-    d = d.select(F.col("doc_id").alias("rec"), F.transform(body, lambda x, i: F.struct((i + 1).cast("int").alias("page"), x.alias("body"))).alias("pages"), F.lit(None).cast("boolean").alias("rep"))
+    d = d.select(F.col("doc_id").alias("rec"), F.transform(body, lambda x, i: F.struct((i + 1).cast("int").alias("page"), x.alias("body"))).alias("pages"), F.lit(None).cast("array<string>").alias("rep"))
     e = elements.where("extractor = 'ocr' AND element_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["element_id"]).select("element_id", "filename", "text", F.col("metadata.page_number").alias("page"))
-    short = e.where(F.length("text") < 90).where(~F.trim("text").contains("\n"))
 
     def sign(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("element_id"), b.column("filename"), b.column("page"), pa.array([signature(x) if titled(x) or BEFORE.match(x.strip()) or AFTER.match(x.strip()) else "" for x in b.column("text").to_pylist()], pa.string())], names=["element_id", "filename", "page", "sig"])
-
-    sig = short.select("element_id", "filename", "page", "text").mapInArrow(sign, "element_id string, filename string, page int, sig string").where(F.length("sig") > 5)
-    again = sig.groupBy("filename", "sig").agg(F.count_distinct("page").alias("n")).where("n > 1")
-    rep = sig.join(again, ["filename", "sig"]).select("element_id", F.lit(True).alias("rep"))
-    e = e.join(rep, "element_id", "left").select(F.col("element_id").alias("rec"), F.array(F.struct(F.col("page").cast("int").alias("page"), F.col("text").alias("body"))).alias("pages"), F.coalesce("rep", F.lit(False)).alias("rep"))
+            at, sigs = [], []
+            for i, text in enumerate(b.column("text").to_pylist()):
+                full = [x.strip() for x in lines_of(text) if x.strip()]
+                for x in {*full[:1], *full[-1:]}:
+                    if len(x) < 90 and (titled(x) or BEFORE.match(x) or AFTER.match(x)) and len(g := signature(x)) > 5:
+                        at.append(i)
+                        sigs.append(g)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(at, pa.int64())) for c in ("element_id", "filename", "page")), pa.array(sigs, pa.string())], names=["element_id", "filename", "page", "sig"])
+
+    sig = cut(e.select("element_id", "filename", F.col("page").cast("int").alias("page"), "text").mapInArrow(sign, "element_id string, filename string, page int, sig string"))
+    # A title returns when another page of the file has it within 2 edits; titles meet by file and length.
+    each = sig.where("page IS NOT NULL").groupBy("filename", "sig").agg(F.min("page").alias("lo"), F.max("page").alias("hi")).withColumn("size", F.length("sig"))
+    other = each.select("filename", F.col("sig").alias("sig2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.explode(F.array(*[F.col("size") + k for k in range(-2, 3)])).alias("size"))
+    near = each.join(other, ["filename", "size"]).where((F.least("lo", "lo2") < F.greatest("hi", "hi2")) & (F.levenshtein("sig", "sig2", 2) >= 0))
+    rep = sig.join(near.select("filename", "sig").distinct(), ["filename", "sig"]).groupBy("element_id").agg(F.collect_set("sig").alias("rep"))
+    e = e.join(rep, "element_id", "left").select(F.col("element_id").alias("rec"), F.array(F.struct(F.col("page").cast("int").alias("page"), F.col("text").alias("body"))).alias("pages"), F.coalesce("rep", F.expr("cast(array() as array<string>)")).alias("rep"))
     return d.unionByName(e)
 
 

@@ -130,3 +130,12 @@ def test_scan_repair(spark):
 def test_viterbi_prefers_the_likelier_path():
     model = {"emit": {("header", "x"): math.log(0.9), ("body", "x"): math.log(0.1)}, "trans": {("start", "header"): math.log(0.5), ("start", "body"): math.log(0.5)}, "unseen": [-5.0, -5.0, -5.0]}
     assert scan_repair.viterbi(["x"], model) == ["header"]
+
+
+def test_misread_running_titles_of_slides_repeat(spark):
+    d = spark.createDataFrame([], "doc_id string, extractor string, pages array<string>, text string")
+    rows = [("a", 1, "SENFUNINI QUAD CHART"), ("b", 2, "SENFUNlNI QUAD CHART"), ("c", 3, "SENFUNINI QUAD CHART\nthe first results are in"), ("d", 4, "Harbor Crane Review"), ("e", 4, "Harbor Crane Reviow")]
+    e = spark.createDataFrame([(i, "f.pdf", "ocr", t, (n,)) for i, n, t in rows], "element_id string, filename string, extractor string, text string, metadata struct<page_number:int>")
+    got = {r.rec: (r.pages, r.rep) for r in scan_repair.scanned(d, e).collect()}
+    sy = {i: [x[3] for x in scan_repair.symbols([(p["page"], p["body"]) for p in pages], rep)] for i, (pages, rep) in got.items()}
+    assert sy == {"a": ["Sncr"], "b": ["Sncr"], "c": ["Tncr", "Enl-"], "d": ["Snc-"], "e": ["Snc-"]}
