@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,22 +18,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _folder(spark: SparkSession) -> str:
+    """The application's own folder for tables, below ``spark.checkpoint.dir``."""
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="seamark-ckpt-"))  # one process: its own folder will do
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame, spread: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: its lineage ends there.
 
-    The folder is the application's own below ``spark.checkpoint.dir``; only where neither that
-    nor a context folder is set (single-process tests) a temporary one is used. A table is written
+    On more than one process ``spark.checkpoint.dir`` must be set, else this raises. A table is written
     rather than a checkpoint, because checkpoints carry the constraints of their plans along, which
     pile up over the rounds of an iteration. ``spread`` deals the rows out evenly first, for steps
-    whose cost is computing, not bytes.
+    whose cost is computing, not bytes. ``discard`` deletes a table that no later plan reads;
+    ``release`` deletes all of an application once its results are taken.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seamark-ckpt-"))
-    path = f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/table-{uuid.uuid4().hex}"
     (df.repartition(n_partitions(df)) if spread else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._table_path = path
+    return back
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def discard(table_df: DataFrame) -> None:
+    """Delete the table behind a result of ``cut``; no plan may read it from then on."""
+    if path := getattr(table_df, "_table_path", None):
+        _delete(table_df.sparkSession, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables of the application, when results of earlier plans are no longer read."""
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        _delete(spark, spark.sparkContext._jsc.sc().getCheckpointDir().get())
 
 
 def n_partitions(df: DataFrame) -> int:
@@ -120,14 +148,15 @@ def heavy_keys(df: DataFrame, key: str, share: int) -> DataFrame:
     return counts.join(F.broadcast(total), F.col("__n") * share > F.col("__t")).select(key)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, share: int = 2048) -> DataFrame:
-    """Inner join to a table that is unique on ``key``, safe where a key is hot on the left.
+def lookup_join(left: DataFrame, right: DataFrame, key: str, share: int = 2048, how: str = "inner") -> DataFrame:
+    """Join (``inner`` or ``left``) to a table that is unique on ``key``, safe where a key is hot on the left.
 
     Rows of the hot keys (fewer than ``share``, so a bounded table) are broadcast; all the
     others go through a shuffled join in which no key can hold more than 1/``share`` of the rows.
+    ``left`` is read three times, so callers pass a table rather than a long plan.
     """
-    hot = cut(heavy_keys(left, key, share))
-    hot_right = right.join(F.broadcast(hot), key, "left_semi")
-    a = left.join(F.broadcast(hot), key, "left_anti").join(right, key)
-    b = left.join(F.broadcast(hot_right), key)
+    hot = F.broadcast(heavy_keys(left, key, share))  # one broadcast, used three times
+    hot_right = right.join(hot, key, "left_semi")
+    a = left.join(hot, key, "left_anti").join(right, key, how)
+    b = left.join(hot, key, "left_semi").join(F.broadcast(hot_right), key, how)
     return a.unionByName(b)
