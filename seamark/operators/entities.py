@@ -1,4 +1,4 @@
-"""Pattern entities and links in chunks; coreference inside a document; document properties."""
+"""Pattern entities and links in chunks; coreference inside a document."""
 
 from __future__ import annotations
 
@@ -7,21 +7,33 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamark.functions.text import matches, or_else, short_sha1, strip
+from seamark.functions.text import matches, short_sha1, strip
 
 # What each type of entity looks like.
 PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "URL": r"https?://\S+|www\.\S+",
+    "URL": r"(?U)https?://[^\s\x1c-\x1f]+|www\.[^\s\x1c-\x1f]+",
     "ORG": r"(?U)\b[A-Z]{2,}\b",
     "PERSON": r"(?U)\b[A-Z][a-z]+\b",
 }
 # Pronouns (number, gender) and given names that tell a gender.
-PRONOUNS = {"it": ("singular", "neut"), "this": ("singular", "neut"), "that": ("singular", "neut"), "he": ("singular", "masc"), "him": ("singular", "masc"), "she": ("singular", "fem"), "her": ("singular", "fem"), "they": ("plural", "unknown"), "them": ("plural", "unknown"), "these": ("plural", "neut"), "those": ("plural", "neut")}
+PRONOUNS = {
+    "he": ("singular", "masc"),
+    "him": ("singular", "masc"),
+    "she": ("singular", "fem"),
+    "her": ("singular", "fem"),
+    "it": ("singular", "neut"),
+    "this": ("singular", "neut"),
+    "that": ("singular", "neut"),
+    "they": ("plural", "unknown"),
+    "them": ("plural", "unknown"),
+    "these": ("plural", "neut"),
+    "those": ("plural", "neut"),
+}
 FEM = ["jane", "alice", "mary", "anna", "susan", "kate", "karen", "linda"]
 MASC = ["bob", "john", "michael", "tom", "david", "peter", "paul"]
-DEVICE_WORDS = "drone|system|device|battery|pack|railgun|prototype"
-THINGS = "DEVICE PRODUCT EQUIPMENT VEHICLE WEAPON SYSTEM PLATFORM TOOL SOFTWARE HARDWARE COMPONENT MATERIAL SENSOR PAYLOAD AIRCRAFT VESSEL SHIP BOAT UAV UAS DRONE SATELLITE MISSILE PROTOTYPE MODEL ALGORITHM METHOD PROCESS".split()
+# Words that tell a device.
+DEVICE_WORDS = ["drone", "system", "device", "battery", "pack", "railgun", "prototype"]
 
 
 def extract(chunks: DataFrame, *keep: str) -> DataFrame:
@@ -31,6 +43,13 @@ def extract(chunks: DataFrame, *keep: str) -> DataFrame:
     return e.withColumn("id", short_sha1("doc_id", "chunk_id", "start", "end", "text"))
 
 
+def embedded_chunks(embedded: DataFrame, chunks: DataFrame, at: str | None = None) -> DataFrame:
+    """The chunks (``doc_id, chunk_id, text``) that have been embedded, once for each embedded row. Of a
+    chunk_id that stands on several rows the last counts, by ``at`` (without one, the largest doc_id)."""
+    one = chunks.where("chunk_id IS NOT NULL").groupBy("chunk_id").agg(F.max_by(F.struct("doc_id", "text"), F.struct(F.col(at) if at else F.col("doc_id"), "doc_id")).alias("c"))
+    return embedded.select("chunk_id").join(one, "chunk_id").select("c.doc_id", "chunk_id", F.coalesce("c.text", F.lit("")).alias("text"))
+
+
 def links(entities: DataFrame) -> DataFrame:
     """HAS_LINK from each organisation to the first URL after it in its chunk."""
     o = entities.where("type = 'ORG'").select("doc_id", "chunk_id", F.col("id").alias("head_ent_id"), F.col("end").alias("o_end"), "source_sha1")
@@ -45,7 +64,7 @@ def features(mentions: DataFrame) -> DataFrame:
     table = lambda i: F.coalesce(*[F.when(low == p, F.lit(v[i])) for p, v in PRONOUNS.items()])
     estimate = F.when(F.col("type") == "ORG", "singular").when(low.isin("they", "these", "those"), "plural").when((F.length(low) > 3) & low.endswith("s"), "plural").otherwise("singular")
     by_name = F.when(F.col("type") != "PERSON", "unknown").when(low.isin(FEM), "fem").when(low.isin(MASC), "masc").otherwise("unknown")
-    device = F.col("type").isin("PRODUCT", "DEVICE") | low.rlike(DEVICE_WORDS)
+    device = F.col("type").isin("PRODUCT", "DEVICE") | low.rlike("|".join(DEVICE_WORDS))
     return mentions.withColumns({"form": F.when(low.isin(list(PRONOUNS)), low), "is_pronoun": low.isin(list(PRONOUNS)), "number": F.coalesce(table(0), estimate), "estimate": estimate, "gender": F.coalesce(table(1), by_name), "device": device})
 
 
@@ -89,32 +108,6 @@ def chains(mentions: DataFrame, resolved: DataFrame, max_rounds: int = 40) -> Da
     return up.select("doc_id", "mention_id", F.col("root").alias("chain_id"))
 
 
-def people_and_things(mentions: DataFrame, bucket: str) -> DataFrame:
-    """``doc_id, name, n, mention_ids`` of one bucket (people, orgs or things) of the document properties."""
-    types = {"people": ["PERSON"], "orgs": ["ORG"], "things": THINGS}[bucket]
-    low = F.lower(strip(F.col("text")))
-    if bucket == "things":
-        low = F.regexp_replace(low, r"^(the|a|an)\s+", "")
-        low = F.when(low.endswith("ies"), F.regexp_replace(low, "ies$", "y")).when(low.endswith("ses"), F.regexp_replace(low, "es$", "")).when(low.endswith("s") & ~low.endswith("ss"), F.regexp_replace(low, "s$", "")).otherwise(low)
-    m = mentions.where(F.col("type").isin(types)).withColumn("key", low)
-    return m.groupBy("doc_id", "key").agg(F.min_by("text", F.struct("n", "mention_id")).alias("name"), F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("mention_id")).alias("mention_ids")).drop("key")
-
-
-def fallback_dates(docs: DataFrame, most: int = 5) -> DataFrame:
-    """``doc_id, value, grain``: up to ``most`` dates of page 1: ISO dates, then spelled ones, then bare years."""
-    first = F.coalesce(F.get("pages", F.lit(0)), F.lit(""))
-    # The three forms of dates, in their order.
-    forms = [r"\b(?:19|20)\d{2}-\d{2}-\d{2}\b", r"(?i)\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?\s+\d{1,2},\s+(?:19|20)\d{2}\b", r"\b(?:19|20)\d{2}\b"]
-    found = F.slice(F.concat(*[F.regexp_extract_all(first, F.lit(f), F.lit(0)) for f in forms]), 1, most)
-    return docs.select("doc_id", F.posexplode(found).alias("ord", "value")).select("doc_id", "ord", "value", F.when(F.length("value") == 4, "year").otherwise("day").alias("grain"))
-
-
-def doc_types(docs: DataFrame) -> DataFrame:
-    """``doc_id, filename, doc_type`` from the suffix of the source path."""
-    name = F.regexp_extract("source_path", r"([^/\\]*)$", 1)
-    return docs.select("doc_id", name.alias("filename"), or_else(F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1)), F.lit("unknown")).alias("doc_type"))
-
-
 def numbered(entities: DataFrame) -> DataFrame:
     """Entities with their chunk's ``ord`` as mentions: ``mention_id`` and ``n``, their place in the document.
 
