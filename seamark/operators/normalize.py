@@ -73,6 +73,44 @@ def summary(docs: DataFrame, sents: DataFrame, chunk_rows: DataFrame) -> DataFra
     return base.join(n_s, "doc_id", "left").join(n_c, "doc_id", "left").fillna(0, ["n_sentences", "n_chunks"])
 
 
+# What a normalized document says of the program that made it.
+MADE_BY = {"name": "seamark.normalize", "version": "0.2.0", "spec": "v1"}
+
+
+def normalized(docs: DataFrame, sents: DataFrame, chunk_rows: DataFrame) -> DataFrame:
+    """``doc_id`` and one nested row for each document: ``meta, doc, sentences, chunks, images``.
+
+    ``docs`` has ``doc_id, source_path, pages`` and perhaps ``images``. The parts of a document are gathered, so
+    this is the form of the sink; other operators read the flat tables."""
+    one = F.struct("page", "ord", "doc_id", "sent_id", "text", "char_start", "char_end")
+    ss = sents.groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("s"))
+    ss = ss.select("doc_id", F.transform("s", lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "sent_id", "page", "text", "char_start", "char_end")])).alias("sentences"))
+    two = F.struct("ord", "doc_id", "chunk_id", "text", "sentence_ids", "page_start", "page_end")
+    cs = chunk_rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(two)).alias("c"))
+    cs = cs.select("doc_id", F.transform("c", lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "chunk_id", "text", "sentence_ids", "page_start", "page_end")])).alias("chunks"))
+    n = lambda c: F.greatest(F.size(c), F.lit(0))
+    meta = F.struct(F.struct(*[F.lit(v).alias(k) for k, v in MADE_BY.items()]).alias("normalizer"), F.sha1(F.array_join("pages", "")).alias("doc_sha1"), n("sentences").alias("n_sentences"), n("chunks").alias("n_chunks"))
+    doc = F.struct("doc_id", "source_path", F.size("pages").alias("num_pages"), "pages")
+    none = lambda c, kind: F.coalesce(c, F.expr(f"cast(array() as {kind})"))
+    whole = docs.join(ss, "doc_id", "left").join(cs, "doc_id", "left")
+    images = none("images", dict(docs.dtypes)["images"]) if "images" in docs.columns else F.expr("cast(array() as array<string>)")
+    return whole.select("doc_id", meta.alias("meta"), doc.alias("doc"), none("sentences", dict(ss.dtypes)["sentences"]).alias("sentences"), none("chunks", dict(cs.dtypes)["chunks"]).alias("chunks"), images.alias("images"))
+
+
+def schema_violations(texts: DataFrame) -> DataFrame:
+    """``name, rule``: what normalized documents (``name, value``, JSON texts) lack: keys, or lists where lists
+    have to be. A text that is no object has the one rule ``unreadable``."""
+    has = lambda at, k: F.array_contains(F.json_object_keys(at), k)
+    doc = F.get_json_object("value", "$.doc")
+    no_list = lambda at: F.coalesce(~F.get_json_object("value", at).startswith("["), F.lit(False))
+    rules = [F.when(~has(F.col("value"), k), f"missing key: {k}") for k in ("meta", "doc", "sentences", "chunks", "images")]
+    rules += [F.when(~F.coalesce(has(doc, k), F.lit(False)), f"doc missing: {k}") for k in ("doc_id", "source_path", "num_pages", "pages")]
+    rules += [F.when(no_list(f"$.{k}"), f"{k} must be an array") for k in ("doc.pages", "sentences", "chunks", "images")]
+    readable = F.json_object_keys("value").isNotNull()
+    every = F.when(readable, F.array_compact(F.array(*rules))).otherwise(F.array(F.lit("unreadable")))
+    return texts.select("name", F.explode(every).alias("rule"))
+
+
 def violations(docs: DataFrame, sents: DataFrame, chunk_rows: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """``doc_id, rule, item``: sentences whose text is not the slice of their page, chunks over the budget,
     chunks that name unknown or non-consecutive sentences or another page range."""
