@@ -9,8 +9,11 @@ corpus only ever goes on. Marks of a cut ("...", "[cut]") are taken off before.
 the valley between the two modes of the log-odds of each language and source, kept within bounds.
 
 Exact copies count once in the model. Counting runs inside Arrow batches on rolling hashes, with
-sorted run lengths as the map-side combine; a Bloom filter of fixed size (``BLOOM_BITS``, 8 MB,
-whatever the data) over the final contexts keeps contexts that no text ends in out of the shuffle.
+sorted run lengths as the map-side combine. A Bloom filter over the final contexts, of 16 bits for
+each, keeps contexts that no text ends in out of the shuffle. Orders are walked upward: a position
+whose last 4 characters end no text cannot end one with its last 7, so each order looks only at the
+positions that are left. A filter beyond ``MOST_BITS`` is made in slices by the last two characters,
+one after the other, each counting its own contexts; so memory is bounded and no filter saturates.
 
 Defined results: null, empty and blank texts are no case; a null language or source is a group of
 its own; a repeated doc_id counts once.
@@ -19,6 +22,7 @@ its own; a repeated doc_id counts once.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from seamark.functions.dist import cut, lookup_join, map_groups
 
 ORDERS = (2, 4, 7, 10, 13, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 26, 28)
-BLOOM_BITS = 1 << 26
+BITS_EACH, MOST_BITS = 16, 1 << 30  # of the filter: for each context, and in one slice
 BLOCK = 1 << 18  # bits of the filter in one row while it is built
 MARK = re.compile(r"(?:\s*(?:\[[^\[\]\n]{0,40}\]|<[^<>\n]{0,40}>|\((?:\.\.\.|…)\)|…|\.{3,}))+\s*$")
 # Sentence terminators that a blank follows, those that need none, and closing marks.
@@ -59,7 +63,7 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hashes(c: np.ndarray):
-    """A function of k: hashes of the windows of k characters that end at each position."""
+    """A function of k and positions: hashes of the windows of k characters that end there."""
     with np.errstate(over="ignore"):
         powers = np.multiply.accumulate(np.full(len(c) + 1, _BASE, np.uint64))
         back = np.multiply.accumulate(np.full(len(c) + 1, _BACK, np.uint64))
@@ -67,25 +71,24 @@ def _hashes(c: np.ndarray):
         x ^= x >> np.uint64(29)
         sums = np.concatenate([[np.uint64(0)], np.add.accumulate(x * powers[: len(c)])])
 
-        def of(k: int) -> np.ndarray:
-            h = (sums[k:] - sums[:-k]) * back[: len(c) - k + 1]  # back to the exponents of a text's first window
+        def of(k: int, last: np.ndarray) -> np.ndarray:
+            first = last - (k - 1)
+            h = (sums[last + 1] - sums[first]) * back[first]  # back to the exponents of a text's first window
             h ^= h >> np.uint64(32)
             return (h * _MIX) & ~np.uint64(1)
 
         return of
 
 
-def _windows(texts: list[str]):
-    """For each order: (order, hashes, positions of the windows' last characters) inside single texts."""
-    c, ends = _codes(texts)
+def _within(ends: np.ndarray) -> np.ndarray:
+    """The place of each character in its text."""
     starts = np.concatenate([[0], ends[:-1]])
-    within = np.arange(len(c)) - np.repeat(starts, ends - starts)
-    of = _hashes(c)
-    for k in ORDERS:
-        if len(c) < k:
-            break
-        pos = np.flatnonzero(within[k - 1 :] >= k - 1) + k - 1
-        yield k, of(k)[pos - k + 1], pos, c, ends
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(starts, ends - starts)
+
+
+def _slice(two: np.ndarray, n_slices: int) -> np.ndarray:
+    """The slice of contexts by the hash of their last two characters."""
+    return (two >> np.uint64(40)) % np.uint64(n_slices)
 
 
 def _stops(c: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -100,31 +103,33 @@ def _stops(c: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def finals(texts: DataFrame) -> DataFrame:
-    """``key, order, h``: the final contexts of each text (``key, body``)."""
+    """``key, order, h, two``: the final contexts of each text (``key, body``), and the hash of its last two characters."""
 
     def run(batches):
         for b in batches:
+            if not b.num_rows:
+                continue
             keys, bodies = b.column("key").to_pylist(), b.column("body").to_pylist()
-            tails = [t[-max(ORDERS) :] for t in bodies]
+            c, ends = _codes([t[-max(ORDERS) :] for t in bodies])
+            of, last, size = _hashes(c), ends - 1, np.diff(np.concatenate([[0], ends]))
             out = []
-            for k, h, pos, _, ends in _windows(tails):
-                at = np.searchsorted(pos, ends - 1)
-                ok = (at < len(pos)) & (pos[np.minimum(at, len(pos) - 1)] == ends - 1) & (np.diff(np.concatenate([[0], ends])) >= k)
-                out.append((np.flatnonzero(ok), np.full(int(ok.sum()), k), h[at[ok]]))
-            if out:
-                i = np.concatenate([o[0] for o in out])
-                yield pa.RecordBatch.from_arrays([pa.array([keys[j] for j in i], pa.string()), pa.array(np.concatenate([o[1] for o in out]), pa.int32()), pa.array(np.concatenate([o[2] for o in out]).view(np.int64))], names=["key", "order", "h"])
+            for k in ORDERS:
+                i = np.flatnonzero(size >= k)
+                out.append((i, np.full(len(i), k), of(k, last[i]), of(ORDERS[0], last[i])))
+            i, order, h, two = (np.concatenate([o[n] for o in out]) for n in range(4))
+            yield pa.RecordBatch.from_arrays([pa.array([keys[j] for j in i], pa.string()), pa.array(order, pa.int32()), pa.array(h.view(np.int64)), pa.array(two.view(np.int64))], names=["key", "order", "h", "two"])
 
-    return texts.select("key", "body").mapInArrow(run, "key string, order int, h bigint")
+    return texts.select("key", "body").mapInArrow(run, "key string, order int, h bigint, two bigint")
 
 
-def bloom(contexts: DataFrame) -> np.ndarray:
-    """The fixed-size filter over ``h``, built in blocks on the executors."""
+def bloom(contexts: DataFrame, size: int, which: int = 0, n_slices: int = 1) -> np.ndarray:
+    """The filter of ``size`` bits over ``h`` of one slice, built in blocks on the executors."""
 
     def run(batches):
-        bits = np.zeros(BLOOM_BITS // 8, np.uint8)
+        bits = np.zeros(size // 8, np.uint8)
         for b in batches:
-            at = (b.column("h").to_numpy().view(np.uint64) >> np.uint64(20)) % np.uint64(BLOOM_BITS)
+            h, two = (b.column(c).to_numpy().view(np.uint64) for c in ("h", "two"))
+            at = (h[_slice(two, n_slices) == which] >> np.uint64(20)) % np.uint64(size)
             np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
         blocks = bits.reshape(-1, BLOCK // 8)
         some = np.flatnonzero(blocks.any(1))
@@ -134,28 +139,34 @@ def bloom(contexts: DataFrame) -> np.ndarray:
         rows = [np.frombuffer(x, np.uint8) for x in t.column("bits").to_pylist()]
         return {"block": t.column("block").to_pylist()[:1], "bits": [np.bitwise_or.reduce(rows).tobytes()]}
 
-    parts = contexts.select("h").mapInArrow(run, "block int, bits binary")
-    whole = np.zeros((BLOOM_BITS // BLOCK, BLOCK // 8), np.uint8)
-    for r in map_groups(parts, ["block"], union, "block int, bits binary").collect():
+    parts = contexts.select("h", "two").mapInArrow(run, "block int, bits binary")
+    whole = np.zeros((size // BLOCK, BLOCK // 8), np.uint8)
+    for r in map_groups(parts, ["block"], union, "block int, bits binary").toLocalIterator():
         whole[r["block"]] = np.frombuffer(r["bits"], np.uint8)
     return whole.reshape(-1)
 
 
-def count_contexts(texts: DataFrame, bits: np.ndarray, chars: int = 2_000_000) -> DataFrame:
-    """``order, h, n, ends`` over every position of every text: seen, and ended there."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(bits)
+def count_contexts(texts: DataFrame, bits: np.ndarray, which: int = 0, n_slices: int = 1, chars: int = 2_000_000) -> DataFrame:
+    """``order, h, n, ends`` over every position of every text, for one slice: seen, and ended there."""
+    size = np.uint64(len(bits) * 8)
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def tally(bodies):
         filt = shared.value
-        for k, h, pos, c, ends in _windows(bodies):
-            stop = _stops(c, ends)[pos]
-            at = (h >> np.uint64(20)) % np.uint64(BLOOM_BITS)
-            some = (filt[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-            keep = some.astype(bool)
-            keys = np.sort(h[keep] | stop[keep].astype(np.uint64))
-            if not len(keys):
-                continue
+        c, ends = _codes(bodies)
+        within, stop, of = _within(ends), _stops(c, ends), _hashes(c)
+        pos = np.flatnonzero(within >= ORDERS[0] - 1)
+        if n_slices > 1:
+            pos = pos[_slice(of(ORDERS[0], pos), n_slices) == which]
+        for k in ORDERS:
+            pos = pos[within[pos] >= k - 1]
+            h = of(k, pos)
+            at = (h >> np.uint64(20)) % size
+            keep = ((filt[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+            pos = pos[keep]
+            if not len(pos):
+                return
+            keys = np.sort(h[keep] | stop[pos].astype(np.uint64))
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             n = np.diff(np.concatenate([first, [len(keys)]]))
             e = (keys[first] & np.uint64(1)).astype(np.int64) * n
@@ -177,10 +188,15 @@ def count_contexts(texts: DataFrame, bits: np.ndarray, chars: int = 2_000_000) -
     return texts.select("body").mapInArrow(run, "order int, h bigint, n bigint, ends bigint").groupBy("order", "h").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
 
 
-def log_odds(texts: DataFrame, prior: float = 0.01, weight: float = 1.5) -> DataFrame:
+def log_odds(texts: DataFrame, prior: float = 0.01, weight: float = 1.5, most_bits: int = MOST_BITS) -> DataFrame:
     """``key, odds``: for each text (``key, body``, unique) log-odds that it ends where it does."""
     ends = cut(finals(texts))
-    counts = count_contexts(texts, bloom(ends))
+    n = ends.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    n_slices = max(1, -(-n * BITS_EACH // most_bits))
+    size = max(BLOCK, 1 << max(0, n * BITS_EACH // n_slices - 1).bit_length())
+    made = (count_contexts(texts, bloom(ends, size, i, n_slices), i, n_slices) for i in range(n_slices))
+    # Of several slices each is counted before the next filter is made.
+    counts = next(made) if n_slices == 1 else reduce(DataFrame.unionByName, [cut(x) for x in made])
     seen = ends.join(counts, ["order", "h"])
     per = seen.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("order", (F.col("n") - 1).alias("n"), (F.col("ends") - 1).alias("e")))).alias("s"))
     p = F.aggregate("s", F.lit(prior), lambda acc, x: (x["e"] + weight * acc) / (x["n"] + weight))
