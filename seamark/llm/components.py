@@ -3,9 +3,10 @@
 Random contraction: in each round every vertex hooks to the neighbour (or itself) that comes
 first in a fresh hash order, all edges are relabelled by these hooks and deduplicated, and the
 rounds go on until no edge is left; each shrinks the vertices by a constant factor in expectation,
-whatever the shape of the graph. The hooks of all rounds are then expanded back to the vertices.
-A vertex of huge degree costs no more than others: its minimum is pre-aggregated before the
-shuffle, and its relabelling is a lookup join that broadcasts hot keys.
+whatever the shape of the graph. The hooks of all rounds are then expanded back to the vertices,
+from the last and smallest round to the first. A vertex of huge degree or a label of most vertices
+costs no more than others: minima are pre-aggregated before the shuffle, and relabelling and
+expansion are lookup joins that broadcast hot keys.
 
 Defined results: null ids make no link and no record, an id beside a null still is a record; self
 pairs and repeated pairs add nothing; empty tables give no rows; the group's name is its smallest id.
@@ -18,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.functions.dist import cut, lookup_join
+from seamark.functions.dist import cut, discard, lookup_join
 
 
 HOT_SHARE = 1024
@@ -59,22 +60,23 @@ def components(vertices: DataFrame, edges: DataFrame, max_turns: int = 200) -> D
             break
         hooks = cut(_hooks(edges, turn))
         turns.append(hooks)
-        edges = cut(_relabel(edges, hooks, n_edges))
+        edges, old = cut(_relabel(edges, hooks, n_edges)), edges
+        if old is not first:
+            discard(old)
     else:
         raise RuntimeError(f"edges are left after {max_turns} turns")
     ids = vertices.select("id").where("id IS NOT NULL")
     if not turns:
         return ids.distinct().select("id", F.col("id").alias("group_id"))
-    # A vertex missing from a later round kept its label: all its edges had gone.
-    root = turns[0]
-    for n, hooks in enumerate(turns[1:]):
-        nxt = hooks.select(F.col("v").alias("to"), F.col("to").alias("__next"))
-        root = root.join(nxt, "to", "left").select("v", F.coalesce("__next", "to").alias("to"))
-        if n % 8 == 7:
-            root = cut(root)
-    root = cut(root)
+    # From the last turn back: the vertices of a turn take the final label of what they hooked to. A label
+    # that is no vertex of the next turn is final, all its edges had gone. The tables shrink from turn to
+    # turn, so all of them together are of the size of the first.
+    root = turns[-1].select("v", "to")
+    for hooks in reversed(turns[:-1]):
+        final = root.select(F.col("v").alias("to"), F.col("to").alias("__final"))
+        root = cut(lookup_join(hooks.select("v", "to"), final, "to", HOT_SHARE, "left").select("v", F.coalesce("__final", "to").alias("to")))
     name = root.groupBy("to").agg(F.min("v").alias("group_id"))
-    named = lookup_join(root, name, "to").select(F.col("v").alias("id"), "group_id")
+    named = lookup_join(root, name, "to", HOT_SHARE).select(F.col("v").alias("id"), "group_id")
     every = reduce(DataFrame.unionByName, [ids, first.select(F.col("a").alias("id")), first.select(F.col("b").alias("id"))]).distinct()
     return every.join(named, "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"))
 
