@@ -45,6 +45,9 @@ LEGAL = {
 }
 
 
+HAN = "[\u3400-\u9fff]+"
+
+
 def plain(s: str) -> str:
     """Lower case, no accents, no apostrophes, compatibility forms resolved."""
     s = "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
@@ -53,7 +56,7 @@ def plain(s: str) -> str:
 
 def sound(s: str) -> str:
     """One spelling for letters that are heard alike, and for doubled letters."""
-    s = re.sub(r"[^a-z0-9]", "", s).replace("ph", "f").replace("ck", "k").replace("c", "k").replace("y", "i").replace("z", "s")
+    s = re.sub(r"[\W_]", "", s).replace("ph", "f").replace("ck", "k").replace("c", "k").replace("y", "i").replace("z", "s")
     return re.sub(r"(.)\1+", r"\1", s)
 
 
@@ -75,6 +78,32 @@ def osa(a: str, b: str, most: int = 3) -> int:
     return one[-1]
 
 
+def segment_keys(key: str, limit, most: int) -> tuple[list[str], list[str]]:
+    """Keys under which ``key`` waits for longer words, and those under which it looks for shorter ones.
+
+    A word of n letters is cut into ``limit(n)`` + 1 segments; in a longer word within ``limit(n)`` edits
+    (``most`` at the highest) one of them stands unchanged, moved by at most its number of edits counted
+    from the left and from the right. So two such words share a key, whatever they are."""
+
+    def parts(size: int, r: int):
+        each, at = size // (r + 1), 0
+        for i in range(r + 1):
+            n = each + (i >= r + 1 - size % (r + 1))
+            yield i, at, n
+            at += n
+
+    n = len(key)
+    waits = [f"{n}|{i}|{key[at : at + m]}" for i, at, m in parts(n, limit(n))]
+    looks = set()
+    for size in range(max(1, n - most), n + 1):
+        r, more = limit(size), n - size
+        if more <= r:
+            for i, at, m in parts(size, r):
+                for p in range(max(at - i, at + more - (r - i), 0), min(at + i, at + more + (r - i), n - m) + 1):
+                    looks.add(f"{size}|{i}|{key[p : p + m]}")
+    return waits, sorted(looks)
+
+
 _cache: dict[str, str] = {}
 
 
@@ -109,13 +138,15 @@ def person(name: str) -> tuple[str, str, str, str] | None:
             parts.append(words)
     if not parts:
         return None
+    if len(parts) == 1 and len(parts[0]) > 1 and all(re.fullmatch(HAN, w) for w in parts[0]):
+        parts = [["".join(parts[0])]]  # family name first, a blank between the parts or not
     short = lambda w: len(w.replace(".", "")) == 1 or (w.endswith(".") and len(w.replace(".", "")) <= 2)
     if len(parts) > 1:
         surname, rest = parts[0], parts[1]
     else:
         words = parts[0]
-        if len(words) == 1:
-            return None
+        if len(words) == 1:  # without a blank only names of Han characters show their parts
+            return (words[0][0], words[0][1:], words[0][1], "") if len(words[0]) < 5 and re.fullmatch(HAN, words[0]) else None
         tail = []
         while len(words) > 2 and short(words[-1]):
             tail, words = [words[-1], *tail], words[:-1]
@@ -134,7 +165,7 @@ def person(name: str) -> tuple[str, str, str, str] | None:
                     n += 1
                 rest, surname = [*words[:n], *tail], words[n:]
     key = sound("".join(surname))
-    if len(key) < 3 or not rest:
+    if not key or not rest:
         return None
     first = rest[0].replace(".", "")
     if short(rest[0]):
@@ -142,7 +173,7 @@ def person(name: str) -> tuple[str, str, str, str] | None:
         return key, "", letters[0], letters[1:2]
     middle = next((w[0] for w in rest[1:]), "")
     g = formal(first)
-    return key, g, g[0], middle
+    return key, g, g[:1], middle
 
 
 def organization(name: str) -> tuple[str, str, str, str] | None:
@@ -165,7 +196,7 @@ def organization(name: str) -> tuple[str, str, str, str] | None:
         words = [w for p in parts for w in p]
         head, rest = words[0], words[1:]
     key = sound(head)
-    if len(key) < 4:
+    if not key:
         return None
     typed = next((w for w in re.sub(r"[&/+_,-]", " ", name).split() if rest and plain(w).replace(".", "") == rest[0]), "")
     if len(rest) == 1 and "." not in typed and (len(rest[0]) <= 2 or (len(rest[0]) == 3 and typed.isupper() and not name.isupper())):

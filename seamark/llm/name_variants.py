@@ -3,18 +3,26 @@
 Metric-space partitioning: the surname or leading name of every spelling is a point under edit
 distance. Pivots from a bounded sample split the space into cells; a name goes to its nearest
 pivot and, as the triangle inequality demands, to every other cell it could have a partner in:
-d(x, pivot) <= d(x, own pivot) + 2 r, which loses no pair within radius r. Inside a cell an exact
-radius join runs with bit-parallel Levenshtein distances behind filters on length, pivot distance
-and letters. Names within the radius are then compared on their other parts: given names with
-short forms and initials, middle initials, words of an organisation with abbreviations, legal
-forms. A spelling with initials only is linked if all its full partners agree on one name.
+d(x, pivot) <= d(x, own pivot) + 2 r, which loses no pair within radius r. The number of pivots and
+the share of them that is so near are bounded, so a name has the same number of copies at every size
+of the data. Inside a cell an exact radius join runs with bit-parallel Levenshtein distances behind
+filters on length, pivot distance and letters. A crowded cell is split further by segments: of r + 1
+segments of a name, one stands unchanged in each partner, at most r places away; this too copies each
+name a fixed number of times, and the work grows with the data, not with its square.
+
+Only distinct keys travel through the cells. Pairs of keys then meet their spellings on what has to
+be equal (given name, initials, number of words), and the spellings are compared on their other
+parts: given names with short forms and initials, middle initials, words of an organisation with
+abbreviations, legal forms. A spelling with initials only is linked if all its full partners agree
+on one name. Keys of one or two letters (organisations: three) match exactly, those up to six
+letters within one edit, longer ones within two.
 
 Groups are the components of the links between spellings and canonical ids; mention labels and
-aliases add the spellings that belong to a canonical id. Cells are cut into rectangles of bounded
-blocks, so no task holds more than two blocks.
+aliases add the spellings that belong to a canonical id.
 
 Defined results: null ids, names and types are dropped; names without a usable part link to
-nothing; other types than PERSON and ORGANIZATION take no part; repeated rows count once.
+nothing; other types than PERSON and ORGANIZATION take no part; repeated rows count once; names are
+read whole, however long, in every script.
 """
 
 from __future__ import annotations
@@ -28,21 +36,31 @@ from pyspark.sql import functions as F
 
 from seamark.functions.dist import cut, map_groups, n_partitions
 from seamark.llm.components import components
-from seamark.llm.name_parts import organization, osa, person, relation
+from seamark.llm.name_parts import organization, osa, person, relation, segment_keys
 
 RADIUS = 2
 MOST_PIVOTS = 512
 PIVOT_SAMPLE = 4096
-OWN_BLOCK, OTHER_BLOCK = 1024, 16_384
+OWN_BLOCK, OTHER_BLOCK = 2048, 65_536
+FOLD = 0xFFF  # characters count as equal to a few far ones; that only lowers distances, and keeps them a metric
 KINDS = ("PERSON", "ORGANIZATION")
 
 
+def limit_of(kind: str, size: int, radius: int = RADIUS) -> int:
+    """The edits allowed between two keys, the shorter one of ``size`` letters."""
+    return 0 if size < (3 if kind == "PERSON" else 4) else 1 if size <= 6 else radius
+
+
+def folded(name: str) -> np.ndarray:
+    return np.frombuffer(name.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint16) & np.uint16(FOLD)
+
+
 def letters(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Characters of each name as a padded matrix, and the lengths."""
+    """Folded characters of each name as a padded matrix, and the lengths."""
     size = np.array([len(n) for n in names], np.int64)
-    out = np.zeros((len(names), max(1, int(size.max(initial=0)))), np.uint8)
+    out = np.zeros((len(names), max(1, int(size.max(initial=0)))), np.uint16)
     for i, n in enumerate(names):
-        out[i, : len(n)] = np.frombuffer(n.encode("ascii", "replace"), np.uint8)
+        out[i, : len(n)] = folded(n)
     return out, size
 
 
@@ -54,7 +72,7 @@ def distances(pattern: str, texts: np.ndarray, size: np.ndarray) -> np.ndarray:
     if m > 64:  # beyond a machine word: row by row
         row = np.repeat(np.arange(m + 1)[None], len(texts), 0)
         out = np.where(size == 0, m, 0)
-        p = np.frombuffer(pattern.encode("ascii", "replace"), np.uint8)
+        p = folded(pattern)
         for j in range(texts.shape[1]):
             new = np.empty_like(row)
             new[:, 0] = j + 1
@@ -63,8 +81,8 @@ def distances(pattern: str, texts: np.ndarray, size: np.ndarray) -> np.ndarray:
             row = new
             out = np.where(size == j + 1, row[:, m], out)
         return out
-    table = np.zeros(256, np.uint64)
-    for k, c in enumerate(pattern.encode("ascii", "replace")):
+    table = np.zeros(FOLD + 1, np.uint64)
+    for k, c in enumerate(folded(pattern)):
         table[c] |= np.uint64(1 << k)
     one, top = np.uint64(1), np.uint64(m - 1)
     pv, mv = np.full(len(texts), np.uint64(2**64 - 1)), np.zeros(len(texts), np.uint64)
@@ -89,88 +107,113 @@ def forms_of(names: DataFrame) -> DataFrame:
         for b in batches:
             kinds, given = b.column("kind").to_pylist(), b.column("name").to_pylist()
             got = [(k, n, p) for k, n in zip(kinds, given, strict=True) if (p := (person if k == "PERSON" else organization)(n))]
-            cols = [[g[0] for g in got], [g[1] for g in got], *([g[2][i][:200] for g in got] for i in range(4))]
+            cols = [[g[0] for g in got], [g[1] for g in got], *([g[2][i] for g in got] for i in range(4))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["kind", "name", "key", "words", "initials", "extra"])
 
     return names.select("kind", "name").distinct().repartition(n_partitions(names)).mapInArrow(run, "kind string, name string, key string, words string, initials string, extra string")
 
 
-def radius_links(forms: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``a, b, level``: forms (``f, kind, key, words, initials, extra``) that can be one name; level 2 by full
-    parts, 1 by initials. Both are listed once, and ``wa``/``wb`` tell the full parts."""
-    keys = forms.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
+def key_pairs(keys: DataFrame, radius: int = RADIUS, own_block: int = OWN_BLOCK, other_block: int = OTHER_BLOCK) -> DataFrame:
+    """``kind, ka, kb``: different keys (``kind, key``, distinct) within the edits allowed, each pair once."""
     sample = keys.select("key").distinct().orderBy(F.xxhash64("key")).limit(PIVOT_SAMPLE).toPandas()["key"].tolist()
-    n_keys = keys.count()
-    pivots = sample[: int(min(MOST_PIVOTS, max(4, n_keys**0.5)))]
+    pivots = sample[: int(min(MOST_PIVOTS, max(4, keys.count() ** 0.5)))]
 
     def spread(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             x, size = letters(b.column("key").to_pylist())
-            d = np.stack([distances(p, x, size) for p in pivots], 1) if pivots else np.zeros((len(x), 1), np.int64)
+            d = np.stack([distances(p, x, size) for p in pivots], 1)
             home = d.argmin(1)
+            r = np.array([limit_of(k, n, radius) for k, n in zip(b.column("kind").to_pylist(), size.tolist(), strict=True)])
             # A pair is found in the cell of the smaller home, so only cells before the own one need a copy.
-            near = d <= d.min(1)[:, None] + 2 * radius
+            near = d <= (d.min(1) + 2 * r)[:, None]
             near &= np.arange(d.shape[1])[None, :] < home[:, None]
             i, cell = np.nonzero(near)
             rows, cells = np.concatenate([np.arange(len(x)), i]), np.concatenate([home, cell])
             take = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in ("f", "kind", "key", "words", "initials", "extra")), pa.array(cells, pa.int32()), pa.array(d[rows, cells], pa.int32()), pa.array(cells == home[rows])], names=["f", "kind", "key", "words", "initials", "extra", "cell", "d", "home"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in ("kind", "key")), pa.array(cells, pa.int32()), pa.array(d[rows, cells], pa.int32()), pa.array(cells == home[rows])], names=["kind", "key", "cell", "d", "home"])
 
-    e = forms.select("f", "kind", "key", "words", "initials", "extra").mapInArrow(spread, "f bigint, kind string, key string, words string, initials string, extra string, cell int, d int, home boolean")
-    e = cut(e)
-    sizes = e.groupBy("kind", "cell").agg(F.ceil(F.count_if("home") / OWN_BLOCK).cast("int").alias("na"), F.ceil(F.count(F.lit(1)) / OTHER_BLOCK).cast("int").alias("nb"))
+    e = cut(keys.select("kind", "key").mapInArrow(spread, "kind string, key string, cell int, d int, home boolean"))
+    sizes = e.groupBy("kind", "cell").agg(F.count_if("home").alias("own"), F.count(F.lit(1)).alias("n"))
+    sizes = cut(sizes.select("kind", "cell", ((F.col("own") > own_block) | (F.col("n") > other_block)).alias("crowded")))
     e = e.join(F.broadcast(sizes), ["kind", "cell"])  # at most two rows for each pivot
-    salt = lambda n: F.pmod(F.xxhash64("f"), F.greatest(F.col(n), F.lit(1))).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1))
-    own = e.where("home").withColumn("a", salt("na")).withColumn("b", every("nb")).withColumn("role", F.lit(0))
-    oth = e.withColumn("b", salt("nb")).withColumn("a", every("na")).withColumn("role", F.lit(1))
-    cells = own.unionByName(oth).drop("na", "nb")
 
     def join(t: pa.Table):
-        role = t.column("role").to_numpy()
-        own_at, oth_at = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        if not len(own_at) or not len(oth_at):
+        home = t.column("home").to_numpy(zero_copy_only=False)
+        if not home.any():
             return None
-        kind, home = t.column("kind")[0].as_py(), t.column("home").to_numpy(zero_copy_only=False)
-        key, f, d = t.column("key").to_pylist(), t.column("f").to_numpy(), t.column("d").to_numpy()
-        parts = list(zip(key, *(t.column(c).to_pylist() for c in ("words", "initials", "extra")), strict=True))
-        ok: dict[str, list[int]] = {}
-        for i in own_at:
-            ok.setdefault(key[i], []).append(i)
-        other: dict[str, list[int]] = {}
-        for i in oth_at:
-            other.setdefault(key[i], []).append(i)
-        names = list(other)
+        kind, names, d = t.column("kind")[0].as_py(), t.column("key").to_pylist(), t.column("d").to_numpy()
         x, size = letters(names)
-        dist = np.array([d[other[n][0]] for n in names])
         present = np.bitwise_or.reduce(np.where(x > 0, np.uint64(1) << (x % 64).astype(np.uint64), np.uint64(0)), axis=1)
-        out = []
-        for n, mine in ok.items():
-            mask = np.uint64(0)
-            for c in n.encode("ascii", "replace"):
-                mask |= np.uint64(1 << (c % 64))
-            some = np.flatnonzero((np.abs(size - len(n)) <= radius) & (np.abs(dist - d[mine[0]]) <= radius) & (np.bitwise_count(present ^ mask) <= 2 * radius))
+        ka, kb = [], []
+        for i in np.flatnonzero(home):
+            some = np.flatnonzero((np.abs(size - size[i]) <= radius) & (np.abs(d - d[i]) <= radius) & (np.bitwise_count(present ^ present[i]) <= 2 * radius) & (~home | (np.arange(len(names)) > i)))
             if not len(some):
                 continue
-            got = distances(n, x[some], size[some])
-            for k in some[got <= radius]:
-                m = names[k]
-                edits = osa(n, m, radius)
-                for i in mine:
-                    for j in other[m]:
-                        if f[i] == f[j] or (home[j] and f[i] > f[j]):
-                            continue
-                        level = relation(kind, parts[i], parts[j], edits, radius if min(len(n), len(m)) > 6 else 1)
-                        if level == 2 or (level == 1 and edits <= 1):
-                            out.append((f[i], f[j], level, parts[i][1], parts[j][1]))
-        if not out:
-            return None
-        return {k: [o[i] for o in out] for i, k in enumerate(("a", "b", "level", "wa", "wb"))}
+            got = distances(names[i], x[some], size[some])
+            for k, n in zip(some[got <= radius], got[got <= radius], strict=True):
+                if n <= limit_of(kind, min(size[i], size[k]), radius):
+                    ka.append(min(names[i], names[k]))
+                    kb.append(max(names[i], names[k]))
+        return {"kind": [kind] * len(ka), "ka": ka, "kb": kb}
+
+    plainly = map_groups(e.where("NOT crowded").select("kind", "cell", "key", "d", "home"), ["kind", "cell"], join, "kind string, ka string, kb string")
 
-    cells = cells.withColumnRenamed("a", "ba").withColumnRenamed("b", "bb")
-    return map_groups(cells, ["kind", "cell", "ba", "bb"], join, "a bigint, b bigint, level int, wa string, wb string")
+    def sign(batches):
+        for b in batches:
+            at, sig, waits = [], [], []
+            for i, (kind, key) in enumerate(zip(b.column("kind").to_pylist(), b.column("key").to_pylist(), strict=True)):
+                for w, ss in zip((True, False), segment_keys(key, lambda n, kind=kind: limit_of(kind, n, radius), radius), strict=True):
+                    at += [i] * len(ss)
+                    sig += ss
+                    waits += [w] * len(ss)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(at, pa.int64())) for c in ("kind", "key", "cell", "d", "home")), pa.array(sig, pa.string()), pa.array(waits, pa.bool_())], names=["kind", "key", "cell", "d", "home", "sig", "waits"])
+
+    s = cut(e.where("crowded").select("kind", "key", "cell", "d", "home").mapInArrow(sign, "kind string, key string, cell int, d int, home boolean, sig string, waits boolean"))
+    side = lambda w, p: s.where(F.col("waits") == w).select("kind", "cell", "sig", *(F.col(c).alias(p + c) for c in ("key", "d", "home")))
+    met = side(True, "a_").join(side(False, "b_"), ["kind", "cell", "sig"]).where((F.col("a_key") != F.col("b_key")) & (F.col("a_home") | F.col("b_home")) & (F.abs(F.col("a_d") - F.col("b_d")) <= radius))
+    least = F.least(F.length("a_key"), F.length("b_key"))
+    short = F.when(F.col("kind") == "PERSON", 3).otherwise(4)
+    edits = F.levenshtein("a_key", "b_key", radius)
+    met = met.where((edits >= 0) & (edits <= F.when(least < short, 0).when(least <= 6, 1).otherwise(radius)))
+    return plainly.unionByName(met.select("kind", F.least("a_key", "b_key").alias("ka"), F.greatest("a_key", "b_key").alias("kb"))).distinct()
+
+
+def radius_links(forms: DataFrame, radius: int = RADIUS, own_block: int = OWN_BLOCK, other_block: int = OTHER_BLOCK) -> DataFrame:
+    """``a, b, level``: forms (``f, kind, key, words, initials, extra``) that can be one name; level 2 by full
+    parts, 1 by initials. Both are listed once, and ``wa``/``wb`` tell the full parts."""
+    keys = cut(forms.select("kind", "key").distinct(), spread=True)
+    pairs = cut(key_pairs(keys, radius, own_block, other_block).unionByName(keys.select("kind", F.col("key").alias("ka"), F.col("key").alias("kb"))))
+    # What has to be equal: of two full names the given name, of two organisations the number of words;
+    # beside initials only, the initials (of persons the first).
+    first = F.when(F.col("kind") == "PERSON", F.substring("initials", 1, 1)).otherwise(F.col("initials"))
+    full = F.when(F.col("kind") == "PERSON", F.col("words")).otherwise(F.size(F.split("words", " ")).cast("string"))
+    part = ("f", "key", "words", "initials", "extra")
+
+    def met(by, where_a: str, where_b: str) -> DataFrame:
+        a = forms.where(where_a).select("kind", F.col("key").alias("ka"), by.alias("same"), *(F.col(c).alias("a_" + c) for c in part))
+        b = forms.where(where_b).select("kind", F.col("key").alias("kb"), by.alias("same"), *(F.col(c).alias("b_" + c) for c in part))
+        both = pairs.unionByName(pairs.where("ka <> kb").select("kind", F.col("kb").alias("ka"), F.col("ka").alias("kb")))
+        return both.join(a, ["kind", "ka"]).join(b, ["kind", "kb", "same"]).where("a_f <> b_f")
+
+    rows = met(full, "words <> ''", "words <> ''").where("a_f < b_f")
+    rows = rows.unionByName(met(first, "words = ''", "words <> ''")).unionByName(met(first, "words = ''", "words = ''").where("a_f < b_f"))
+
+    def agree(batches):
+        for b in batches:
+            level = []
+            for r in b.to_pylist():
+                x, y = (tuple(r[p + c] for c in part[1:]) for p in ("a_", "b_"))
+                limit = limit_of(r["kind"], min(len(x[0]), len(y[0])), radius)
+                edits = osa(x[0], y[0], limit)
+                got = relation(r["kind"], x, y, edits, limit)
+                level.append(got if got == 2 or edits <= 1 else 0)
+            kept = pa.array([v > 0 for v in level], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("a_f").filter(kept), b.column("b_f").filter(kept), pa.array([v for v in level if v], pa.int32()), b.column("a_words").filter(kept), b.column("b_words").filter(kept)], names=["a", "b", "level", "wa", "wb"])
+
+    cols = [p + c for p in ("a_", "b_") for c in part]
+    return rows.select("kind", *cols).mapInArrow(agree, "a bigint, b bigint, level int, wa string, wb string")
 
 
 def _agree(pairs: DataFrame) -> DataFrame:
