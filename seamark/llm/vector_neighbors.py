@@ -3,7 +3,8 @@
 NN-descent: a graph of the k nearest neighbours is improved by joins of neighbours with their
 neighbours. Each round ships every vector to the lists it stands in (a join), groups the lists by
 their owner (a shuffle), compares the members of a list with each other in numpy, and keeps the
-proposals that beat a member's worst neighbour. The first graph comes from leaves of random
+proposals that beat a member's worst neighbour. Only members that are new in a list are compared with
+the others, and rounds go on until the graph has settled. The first graph comes from leaves of random
 rotations: vectors whose largest coordinates after a rotation agree. Queries walk the finished
 graph greedily: every round expands the best nodes seen so far.
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamark.functions.dist import cut, lookup_join, map_groups
+from seamark.functions.dist import cut, discard, lookup_join, map_groups
 
 K = 16
 TABLES = 10
@@ -90,9 +91,13 @@ def leaves(nodes: DataFrame, n_nodes: int, tables: int) -> DataFrame:
 
 
 def _top(edges: DataFrame, k: int) -> DataFrame:
-    """The k most similar distinct ``w`` of each ``v``: ``v, list`` of ``struct<s, w>``, best first."""
+    """The k most similar distinct ``w`` of each ``v``: ``v, list`` of ``struct<s, w>``, best first.
+
+    Ranks are limited before and after the shuffle, so the proposals of a hub are never held together."""
     best = edges.groupBy("v", "w").agg(F.max("s").alias("s"))
-    return best.groupBy("v").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "w")), asc=False), 1, k).alias("list"))
+    place = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("s"), F.desc("w")))
+    best = best.withColumn("r", place).where(F.col("r") <= k)
+    return best.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("s", "w")), asc=False).alias("list"))
 
 
 def first_graph(nodes: DataFrame, n_nodes: int, k: int, tables: int) -> DataFrame:
@@ -117,38 +122,48 @@ def first_graph(nodes: DataFrame, n_nodes: int, k: int, tables: int) -> DataFram
 
 
 def descend(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
-    """One round: proposals ``v, w, s`` from comparing neighbours of neighbours."""
+    """One round: proposals ``v, w, s`` from comparing neighbours of neighbours.
+
+    ``graph`` has ``v, list`` and ``fresh``, the entries that came in the last round. Two members of a list meet
+    if one of them is fresh there, the others have met before; lists without a fresh member are left out."""
     half = nodes.select("v", "vec")
-    edges = graph.select("v", F.posexplode("list").alias("at", "e")).select("v", F.col("e.w").alias("w"))
-    own = edges.select(F.col("v").alias("owner"), F.col("w").alias("v"), F.lit(True).alias("fwd"))
-    rev = edges.select(F.col("w").alias("owner"), "v", F.lit(False).alias("fwd"))
+    edges = graph.select("v", "fresh", F.explode("list").alias("e")).select("v", F.col("e.w").alias("w"), F.array_contains("fresh", F.col("e.w")).alias("new"))
+    own = edges.select(F.col("v").alias("owner"), F.col("w").alias("v"), "new")
+    rev = edges.select(F.col("w").alias("owner"), "v", "new")
     # Those who name the owner come in blocks of a bounded size; each block meets the owner's own list.
-    named = rev.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).select("owner", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rev = rev.join(named, "owner").withColumn("block", F.pmod(F.xxhash64("v", "owner"), F.col("blocks")).cast("int")).drop("blocks")
-    own = own.join(named, "owner", "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+    named = rev.groupBy("owner").agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("moved"))
+    owners = graph.select(F.col("v").alias("owner"), (F.size("fresh") > 0).alias("mine")).join(named, "owner", "left")
+    owners = cut(owners.where("mine OR moved").select("owner", F.ceil(F.coalesce("n", F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+    rev = lookup_join(rev, owners, "owner").withColumn("block", F.pmod(F.xxhash64("v", "owner"), F.col("blocks")).cast("int")).drop("blocks")
+    own = own.join(owners, "owner").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     worst = graph.select("v", F.when(F.size("list") < k, F.lit(-2.0)).otherwise(F.element_at("list", -1)["s"]).cast("float").alias("worst"))
     info = half.join(worst, "v", "left").select("v", "vec", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"))
-    lists = own.unionByName(rev).join(info, "v")
+    # A hub stands in the lists of very many: its vector is broadcast to them (fewer than 2,048 such).
+    lists = lookup_join(cut(own.unionByName(rev)), info, "v")
 
     def meet(t: pa.Table):
-        v, first = np.unique(t.column("v").to_numpy(), return_index=True)
+        v, first, which = np.unique(t.column("v").to_numpy(), return_index=True, return_inverse=True)
         if len(v) < 2:
             return None
+        new = np.zeros(len(v), bool)
+        np.logical_or.at(new, which, t.column("new").to_numpy(zero_copy_only=False))
         t = t.take(pa.array(first))
         x, worst = _matrix(t.column("vec"), np.float16), t.column("worst").to_numpy()
         s = x @ x.T
         np.fill_diagonal(s, -3)
-        i, j = np.nonzero(s > worst[:, None])
+        i, j = np.nonzero((s > worst[:, None]) & (new[:, None] | new[None, :]))
         return {"v": v[i], "w": v[j], "s": s[i, j]}
 
     return map_groups(lists, ["owner", "block"], meet, "v bigint, w bigint, s float")
 
 
-def build_graph(nodes: DataFrame, k: int = K, tables: int = TABLES, max_rounds: int = 4, settled: float = 0.01) -> DataFrame:
-    """``v, list`` of ``struct<s, w>``: NN-descent until fewer than ``settled`` of all entries change."""
+def build_graph(nodes: DataFrame, k: int = K, tables: int = TABLES, max_rounds: int = 60, settled: float = 0.01) -> DataFrame:
+    """``v, list`` of ``struct<s, w>``: NN-descent until fewer than ``settled`` of all entries change;
+    raises where that takes more than ``max_rounds``, instead of giving an unsettled graph."""
     n_nodes = nodes.count()
     half = nodes.select("v", "model", "vec")
-    graph = cut(first_graph(half, n_nodes, k, tables))
+    names = lambda c: F.transform(c, lambda e: e["w"])
+    graph = cut(first_graph(half, n_nodes, k, tables).withColumn("fresh", names("list")))
 
     def halve(batches):
         for b in batches:
@@ -159,15 +174,16 @@ def build_graph(nodes: DataFrame, k: int = K, tables: int = TABLES, max_rounds:
     for _ in range(max_rounds):
         new = descend(small, graph, k)
         old = graph.select("v", F.explode("list").alias("e")).select("v", F.col("e.w").alias("w"), F.col("e.s").alias("s"))
-        merged = cut(_top(old.unionByName(new), k))
-        both = merged.join(graph.select("v", F.col("list").alias("before")), "v", "left")
-        names = lambda c: F.transform(c, lambda e: e["w"])
-        fresh = F.size(F.array_except(names("list"), F.coalesce(names("before"), F.expr("cast(array() as array<bigint>)"))))
-        changed = both.agg(F.sum(fresh)).first()[0] or 0
+        before = graph.select("v", names("list").alias("before"))
+        merged = _top(old.unionByName(new), k).join(before, "v", "left")
+        fresh = F.array_except(names("list"), F.coalesce("before", F.expr("cast(array() as array<bigint>)")))
+        merged = cut(merged.select("v", "list", fresh.alias("fresh")))
+        changed = merged.agg(F.sum(F.size("fresh"))).first()[0] or 0
+        discard(graph)
         graph = merged
         if changed <= settled * k * max(n_nodes, 1):
-            break
-    return graph
+            return graph.select("v", "list")
+    raise RuntimeError(f"the graph has not settled after {max_rounds} rounds")
 
 
 def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -187,7 +203,7 @@ def exact_similarity(edges: DataFrame, nodes: DataFrame) -> DataFrame:
                 s = np.array([np.dot(np.frombuffer(x, np.float32).astype(np.float64), np.frombuffer(y, np.float32)) / np.sqrt(np.sum(np.frombuffer(x, np.float32).astype(np.float64) ** 2) * np.sum(np.frombuffer(y, np.float32).astype(np.float64) ** 2)) for x, y in zip(t.column("va").to_pylist(), t.column("vb").to_pylist(), strict=True)])
                 yield pa.RecordBatch.from_arrays([t.column("v"), t.column("w"), pa.array(s)], names=["v", "w", "s"])
 
-    return edges.select("v", "w").join(a, "v").join(b, "w").select("v", "w", "va", "vb").mapInArrow(run, "v bigint, w bigint, s double")
+    return lookup_join(cut(edges.select("v", "w")), b, "w").join(a, "v").select("v", "w", "va", "vb").mapInArrow(run, "v bigint, w bigint, s double")
 
 
 def similar_pairs(df: DataFrame, top: int = 5, least: float = 0.8) -> DataFrame:
@@ -203,7 +219,8 @@ def similar_pairs(df: DataFrame, top: int = 5, least: float = 0.8) -> DataFrame:
     heads = members.join(many, "v", "left_semi").withColumn("r", rank).where(F.col("r") <= top + 1).select("v", "id")
     heads = cut(heads.unionByName(some.where("n = 1").select("v", F.col("one").alias("id"))).withColumnRenamed("id", "other"))
     same = heads.join(many, "v", "left_semi").select("v", "other", F.lit(1.0).alias("s"))
-    across = near.join(heads.withColumnRenamed("v", "w"), "w").select("v", "other", "s")
+    few = heads.groupBy(F.col("v").alias("w")).agg(F.collect_list("other").alias("others"))  # at most top + 1 a class
+    across = lookup_join(cut(near), few, "w").select("v", F.explode("others").alias("other"), "s")
     best = F.row_number().over(Window.partitionBy("v").orderBy(F.desc(F.round("s", 12)), "other"))
     # Of each class the best top + 1 others; a member that finds itself among them takes the next.
     lists = same.unionByName(across).withColumn("r", best).where(F.col("r") <= top + 1)
@@ -212,9 +229,10 @@ def similar_pairs(df: DataFrame, top: int = 5, least: float = 0.8) -> DataFrame:
     return each.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def search(df: DataFrame, queries: DataFrame, top: int = 5, beam: int = 24, rounds: int = 6) -> DataFrame:
+def search(df: DataFrame, queries: DataFrame, top: int = 5, beam: int = 24, max_rounds: int = 200) -> DataFrame:
     """``query, id, s``: the ``top`` most similar rows of every query (``id, model, vec``), found by
-    greedy walks on the graph; a query's own id is left out, its copies are not."""
+    greedy walks on the graph; a query's own id is left out, its copies are not. A walk ends when all
+    of the ``beam`` best nodes it has seen are expanded; more than ``max_rounds`` raise."""
     nodes, members = classes_of(unit_vectors(df))
     graph = cut(build_graph(nodes))
     n = nodes.count()
@@ -228,7 +246,7 @@ def search(df: DataFrame, queries: DataFrame, top: int = 5, beam: int = 24, roun
     qv, nv = q.select("q", F.col("vec").alias("va")), nodes.select(F.col("v").alias("w"), F.col("vec").alias("vb"))
 
     def score(c: DataFrame) -> DataFrame:
-        pairs = c.join(nv, "w").join(qv, "q").select(F.col("q").alias("v"), "w", "va", "vb")
+        pairs = lookup_join(cut(c), nv, "w").join(qv, "q").select(F.col("q").alias("v"), "w", "va", "vb")
 
         def run(batches):
             for t in batches:
@@ -240,14 +258,18 @@ def search(df: DataFrame, queries: DataFrame, top: int = 5, beam: int = 24, roun
 
     ahead = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "w"))
     seen = cut(score(cand).withColumn("done", F.lit(False)))
-    for _ in range(rounds):
+    for _ in range(max_rounds):
         ranked = seen.withColumn("r", ahead).where(F.col("r") <= 4 * beam)
         open_ = ranked.where((F.col("r") <= beam) & ~F.col("done")).select("q", F.col("w").alias("v"))
         nxt = open_.join(graph, "v").select("q", F.explode("list").alias("e")).select("q", F.col("e.w").alias("w")).distinct().join(seen.select("q", "w"), ["q", "w"], "left_anti")
         new = cut(score(nxt).withColumn("done", F.lit(False)))
         if new.isEmpty():
             break
-        seen = cut(ranked.select("q", "w", "s", (F.col("done") | (F.col("r") <= beam)).alias("done")).unionByName(new))
+        old, seen = seen, cut(ranked.select("q", "w", "s", (F.col("done") | (F.col("r") <= beam)).alias("done")).unionByName(new))
+        discard(old)
+        discard(new)
+    else:
+        raise RuntimeError(f"walks are not over after {max_rounds} rounds")
     found = seen.withColumn("r", ahead).where(F.col("r") <= top + 1).select("q", "w", "s")
     rank = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     heads = members.withColumn("r", rank).where(F.col("r") <= top + 1).select(F.col("v").alias("w"), F.col("id").alias("other"))
