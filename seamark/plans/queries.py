@@ -107,11 +107,13 @@ def normalized_documents(s, d):
     return n.select("doc_id", "doc.num_pages", "doc.source_path", "meta.doc_sha1", some(ids).alias("sent_ids"), some(texts).alias("chunk_texts"))
 
 
-@query()
+@query(f"WITH {DOCS} SELECT doc_id AS name, unnest(['missing key: images', 'doc missing: num_pages']) AS rule FROM docs WHERE len(pages) % 2 = 0")
 def normalized_schema_violations(s, d):
-    """The normalized form as JSON text against its schema: no rows."""
+    """The normalized form as JSON text against its schema; documents of an even number of pages lose two keys."""
     n = normalize.normalized(_docs(s, d), _sents(s, d), _chunks(s, d))
-    return normalize.schema_violations(n.select(F.col("doc_id").alias("name"), F.to_json(F.struct("meta", "doc", "sentences", "chunks", "images")).alias("value")))
+    whole = F.to_json(F.struct("meta", "doc", "sentences", "chunks", "images"))
+    less = F.to_json(F.struct("meta", F.col("doc").dropFields("num_pages").alias("doc"), "sentences", "chunks"))
+    return normalize.schema_violations(n.select(F.col("doc_id").alias("name"), F.when(F.col("doc.num_pages") % 2 == 0, less).otherwise(whole).alias("value")))
 
 
 @query("""SELECT doc_id, st AS start, substr(text, st + 1, 1200) AS text FROM (SELECT doc_id, text, unnest(range(0, length(text), 1000))::INT AS st FROM documents WHERE text IS NOT NULL AND text <> '')""")
@@ -335,7 +337,7 @@ GROUPS = rf"""m AS (SELECT mention_id, any_value(doc_id) AS doc_id, any_value(ty
     k AS (SELECT doc_id, mention_id, upper(coalesce(nullif(regexp_replace(regexp_replace(type, '^{W}+', ''), '{W}+$', ''), ''), 'UNKNOWN')) AS type, label, regexp_replace(regexp_replace(label, '^{W}+', ''), '{W}+$', '') AS trimmed FROM m),
     sp AS (SELECT doc_id, type, lower(trimmed) AS normalized_label, label, any_value(trimmed) AS trimmed, count(*) AS n, list(mention_id) AS ids FROM k GROUP BY ALL),
     g AS (SELECT doc_id, type, normalized_label, arg_min(trimmed, (-n, label)) AS name, list_sort(flatten(list(ids))) AS mention_ids FROM sp GROUP BY ALL),
-    h AS (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('combo://entity/' || type || '|' || normalized_label)) AS x FROM g),
+    h AS (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('{linking.ID_PREFIX}' || type || '|' || normalized_label)) AS x FROM g),
     linked AS (SELECT doc_id, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-5' || substr(x, 14, 3) || '-' || substr('89ab', (('0x' || substr(x, 17, 1))::INT & 3) + 1, 1) || substr(x, 18, 3) || '-' || substr(x, 21, 12) AS canonical_id,
         type, normalized_label, name, mention_ids FROM h)"""
 

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from seamark.functions.text import matches, spans, strip, uuid5_url
+from seamark.functions.text import matches, spans, strip
 from seamark.operators import contract, elements, embedding, entities, linking, normalize, promotion, properties
 from seamark.plans import reports
 from seamark.sources import files
@@ -148,7 +148,7 @@ def test_properties_of_documents(spark):
 
 
 def test_canonical_ids(spark):
-    one = spark.range(1).select(uuid5_url(F.lit("combo://entity/IBM|ibm")).alias("u")).first().u
+    one = spark.range(1).select(linking.canonical_id(F.lit("IBM"), F.lit("ibm")).alias("u")).first().u
     assert one == "49bd4d52-7917-582f-9d6a-eb0ec1f93cfd"
     m = spark.createDataFrame([("1", "ORG", " IBM ", "d"), ("2", "ORG", "ibm", "d"), ("3", "ORG", "ibm", "d"), ("4", None, None, "d"), ("4", None, None, "d")], "mention_id string, type string, label string, doc_id string")
     g = linking.groups(m)
@@ -392,6 +392,27 @@ def test_more_sources(spark, tmp_path):
     assert one.n == "a_b________c" and one.j == '{"a": null, "b": "é"}'
 
 
+def test_order_of_written_lines(spark, tmp_path):
+    df = spark.createDataFrame([("b", 1), ("a", 2), ("c", 0)], "v string, ord int").repartition(3)
+    files.write_json_lines(df, str(tmp_path / "sorted"), spaced=True)
+    assert list(files.lines_text(spark, str(tmp_path / "sorted"))) == ['{"ord": 0, "v": "c"}', '{"ord": 1, "v": "b"}', '{"ord": 2, "v": "a"}']
+    files.write_json_lines(df, str(tmp_path / "placed"), by="ord")
+    assert list(files.lines_text(spark, str(tmp_path / "placed"))) == ['{"v":"c"}', '{"v":"b"}', '{"v":"a"}']
+
+
+def test_late_documents(spark, tmp_path):
+    import datetime
+
+    from seamark.streaming.documents import arrivals
+
+    day = datetime.datetime(2024, 1, 1, 5)
+    spark.createDataFrame([(day, "s"), (day, "s"), (day + datetime.timedelta(days=1), "t"), (None, "t")], "published_at timestamp, source string").write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("published_at timestamp, source string").parquet(str(tmp_path / "in"))
+    q = arrivals(rows).writeStream.format("memory").queryName("arrived").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.awaitTermination(60)
+    assert sorted((r.day.day, r.source, r.n) for r in spark.table("arrived").collect()) == [(1, "s", 2), (2, "t", 1)]
+
+
 def test_normalized_form(spark, docs):
     s = normalize.sentences(docs)
     n = normalize.normalized(docs, s, normalize.chunks(s))
