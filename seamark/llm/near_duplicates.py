@@ -1,18 +1,23 @@
 """Records that are the same but for small edits (problem 7).
 
-Each distinct set of words gets a fingerprint of ``BITS`` bits, one bit of one min-hash each, so
-that two sets of similarity s differ in (1-s)/2 of their bits. The fingerprint is cut into 16
-sections of 24 bits. Every section is an index of its own: its codes are sorted by Gray rank, so
-that neighbours share long bit patterns; runs of the order are leaves, and each upper node keeps
-the mask and pattern of the bits all its codes share. A search walks the upper nodes with the
-difference to their patterns accumulated, prunes the group when more than 2 bits differ in the
-section, and tests the whole fingerprints of the rest against the total difference that the
-similarity allows. Two codes within 2 bits agree on one of three bytes, so the index is spread
-over the cluster by (section, byte, value); crowded parts are cut into blocks that meet pairwise.
+Each distinct set of words gets a fingerprint, one bit of one min-hash each, so that two sets of
+similarity s differ in (1-s)/2 of their bits. The fingerprint is cut into sections. Every section
+is an index of its own: its codes are sorted by Gray rank, so that neighbours share long bit
+patterns; runs of the order are leaves, and each upper node keeps the mask and pattern of the bits
+all its codes share. A search walks the upper nodes with the difference to their patterns
+accumulated, prunes the group when more than 2 bits differ in the section, and tests the whole
+fingerprints of the rest against the total difference that the similarity allows. Two codes within
+2 bits agree on one of three pieces, so the index is spread over the cluster by (section, piece,
+value). A crowded part is cut into ranges of the Gray order, which are the groups of codes that
+share their next bits; a range meets only those whose shared bits differ in 2 places or fewer, the
+others are pruned before anything is shipped. Ranges that many records share are cut once more.
 Pairs found are then checked on their exact sets of words.
 
-Two sets of similarity 0.7 meet in at least one of the 16 sections with probability 0.995, more
-similar ones nearly always (``tests/llm`` measures recall against brute force).
+Width and number of the sections follow from the number of records (``plan_of``): sections get wider
+as records grow, so that the codes that are near by chance stay few for each record, and as many of
+them are taken as keep the chance to meet. Two sets of similarity 0.7 meet in at least one section
+with probability 0.994, more similar ones nearly always (``tests/llm`` measures recall against brute
+force).
 
 Defined results: null texts and texts of fewer than ``min_words`` words take no part; records
 with the same set of words form one class, which is opened to its members at the end; repeated
@@ -21,15 +26,18 @@ rows count once; an empty table gives no pairs.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.functions.dist import cut, map_groups
+from seamark.functions.dist import cut, lookup_join, map_groups
 
-SECTIONS, SECTION_BITS, RADIUS = 16, 24, 2
-BITS = SECTIONS * SECTION_BITS
+RADIUS = 2
+WIDTHS = (24, 32, 40)
+CHANCE, MISS = 64, 0.006
 LEAF = 64
 SEED = 20_011
 
@@ -37,11 +45,23 @@ SEED = 20_011
 def gray_rank(code: np.ndarray) -> np.ndarray:
     """The place of each code in the order in which neighbours differ in one bit."""
     r = code.copy()
-    for s in (1, 2, 4, 8, 16):
-        r ^= r >> np.uint32(s)
+    for s in (1, 2, 4, 8, 16, 32)[: 5 if r.dtype.itemsize == 4 else 6]:
+        r ^= r >> r.dtype.type(s)
     return r
 
 
+def plan_of(n: int, similarity: float) -> tuple[int, int]:
+    """Sections and their bits for ``n`` records: the narrowest whose codes have at most ``CHANCE``
+    others within the radius by chance, and as many sections as miss a pair with probability ``MISS``."""
+    far = 0.5 * (1 - similarity)
+    for width in WIDTHS:
+        ball = sum(math.comb(width, k) for k in range(RADIUS + 1))
+        if n * ball / 2**width <= CHANCE:
+            break
+    meet = sum(math.comb(width, k) * far**k * (1 - far) ** (width - k) for k in range(RADIUS + 1))
+    return (1 if meet >= 1 else math.ceil(math.log(MISS) / math.log(1 - meet))), width
+
+
 class GrayIndex:
     """Codes in Gray order under two levels of nodes that hold their groups' shared bits."""
 
@@ -77,14 +97,14 @@ class GrayIndex:
         return self.order[np.concatenate(left)], self.order[np.concatenate(right)]
 
 
-def fingerprints(words: pa.ChunkedArray | pa.Array, chunk: int = 200_000) -> np.ndarray:
-    """``BITS`` bits for each list of 64-bit word hashes, as rows of uint64."""
+def fingerprints(words: pa.ChunkedArray | pa.Array, n_bits: int, chunk: int = 200_000) -> np.ndarray:
+    """``n_bits`` (a multiple of 64) for each list of 64-bit word hashes, as rows of uint64."""
     flat = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     sizes = pa.compute.list_value_length(words).to_numpy(zero_copy_only=False)
     rng = np.random.default_rng(SEED)
-    mul = rng.integers(1 << 62, size=BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    add = rng.integers(1 << 63, size=BITS, dtype=np.uint64)
-    out = np.zeros((len(sizes), BITS // 64), np.uint64)
+    mul = rng.integers(1 << 62, size=n_bits, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    add = rng.integers(1 << 63, size=n_bits, dtype=np.uint64)
+    out = np.zeros((len(sizes), n_bits // 64), np.uint64)
     ends = np.cumsum(sizes)
     row = 0
     while row < len(sizes):
@@ -92,8 +112,8 @@ def fingerprints(words: pa.ChunkedArray | pa.Array, chunk: int = 200_000) -> np.
         stop = max(row + 1, int(np.searchsorted(ends, base + chunk // 8, side="right")))
         h = flat[base : ends[stop - 1]]
         starts = (ends[row:stop] - sizes[row:stop] - base).astype(np.int64)
-        bits = np.zeros((stop - row, BITS), np.uint8)
-        for a in range(0, BITS, 64):
+        bits = np.zeros((stop - row, n_bits), np.uint8)
+        for a in range(0, n_bits, 64):
             with np.errstate(over="ignore"):
                 v = h[:, None] * mul[None, a : a + 64] + add[None, a : a + 64]
                 v ^= v >> np.uint64(31)
@@ -105,9 +125,19 @@ def fingerprints(words: pa.ChunkedArray | pa.Array, chunk: int = 200_000) -> np.
     return out
 
 
-def _section(fp: np.ndarray, s: int) -> np.ndarray:
-    bits = fp.view(np.uint8)[:, s * 3 : s * 3 + 3].astype(np.uint32)
-    return bits[:, 0] | bits[:, 1] << np.uint32(8) | bits[:, 2] << np.uint32(16)
+def _section(fp: np.ndarray, s: int, width: int) -> np.ndarray:
+    raw = fp.view(np.uint8)[:, s * (width // 8) : (s + 1) * (width // 8)].astype(np.uint64)
+    return (raw << (np.arange(width // 8, dtype=np.uint64) * np.uint64(8))).sum(1, dtype=np.uint64)
+
+
+def _pieces(width: int) -> list[tuple[int, int]]:
+    """Where the three pieces of a section begin and how many bits they have."""
+    cuts = [k * width // (RADIUS + 1) for k in range(RADIUS + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _piece(code: np.ndarray, at: int, n: int) -> np.ndarray:
+    return (code >> np.uint64(at)) & np.uint64((1 << n) - 1)
 
 
 def word_sets(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
@@ -126,46 +156,82 @@ def classes_of(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return one.select("c", "rep", "words"), members
 
 
-def candidate_pairs(classes: DataFrame, similarity: float, block: int = 4096) -> DataFrame:
+def candidate_pairs(classes: DataFrame, similarity: float, block: int = 4096, plan: tuple[int, int] | None = None) -> DataFrame:
     """``a, b``: classes whose fingerprints agree as far as ``similarity`` demands."""
-    hashed = classes.select("c", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    sections, width = plan or plan_of(classes.count(), similarity)
+    n_bits = -(-sections * width // 64) * 64
+    pieces = _pieces(width)
+
+    def mark(batches):
+        for b in batches:
+            if b.num_rows:
+                raw = np.ascontiguousarray(fingerprints(b.column("h"), n_bits)).view(np.uint8)
+                blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(n_bits // 8), b.num_rows, [None, pa.py_buffer(raw)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("c"), blob], names=["c", "fp"])
+
+    marked = cut(classes.select("c", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).mapInArrow(mark, "c bigint, fp binary"))
+
+    def parts(fp: np.ndarray):
+        """Of each record its parts, and the bits of the section beside the part's piece."""
+        for s in range(sections):
+            code = _section(fp, s, width)
+            for x, (at, n) in enumerate(pieces):
+                rest = (code & np.uint64((1 << at) - 1)) | (code >> np.uint64(at + n) << np.uint64(at))
+                yield (np.int64(s * len(pieces) + x) << np.int64(16)) | _piece(code, at, n).astype(np.int64), rest.astype(np.int64)
+
+    def read(b) -> np.ndarray:
+        return np.frombuffer(b"".join(b.column("fp").to_pylist()), np.uint64).reshape(b.num_rows, -1)
+
+    def count(batches):
+        for b in batches:
+            if b.num_rows:
+                part, n = np.unique(np.concatenate([p for p, _ in parts(read(b))]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(n)], names=["part", "n"])
 
     def spread(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            fp = fingerprints(b.column("h"))
-            raw = fp.view(np.uint8).reshape(len(fp), -1)
-            n = SECTIONS * 3
-            part = (np.arange(n)[None, :] << 8) | raw[:, :n].astype(np.int64)  # byte x of section s is byte 3s+x
-            blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(fp), [None, pa.py_buffer(np.ascontiguousarray(raw))]).cast(pa.binary())
-            rows = np.repeat(np.arange(len(fp)), n)
-            yield pa.RecordBatch.from_arrays([pa.array(part.ravel(), pa.int32()), b.column("c").take(pa.array(rows)), blob.take(pa.array(rows))], names=["part", "c", "fp"])
-
-    entries = hashed.mapInArrow(spread, "part int, c bigint, fp binary")
-    # Crowded parts: blocks that meet pairwise, so that no task takes more than two blocks.
-    sizes = hashed.mapInArrow(spread, "part int, c bigint, fp binary").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    crowded = cut(sizes.where(F.col("n") > block).select("part", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    e = entries.join(F.broadcast(crowded), "part", "left")  # at most 48 * 256 rows
-    mine = F.pmod(F.xxhash64("c"), F.coalesce("blocks", F.lit(1))).cast("int")
-    e = e.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    e = e.select("part", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "c", "fp")
+            if b.num_rows:
+                each = list(parts(read(b)))
+                take = pa.array(np.tile(np.arange(b.num_rows), len(each)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p for p, _ in each])), pa.array(np.concatenate([r for _, r in each])), b.column("c").take(take), b.column("fp").take(take)], names=["part", "rest", "c", "fp"])
+
+    e = marked.mapInArrow(spread, "part bigint, rest bigint, c bigint, fp binary")
+    sizes = marked.mapInArrow(count, "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("n")).where(F.col("n") > block)
+    # Ranges of the Gray order are the codes with equal first bits: as many bits as leave a block to a range.
+    spare = width - max(n for _, n in pieces)
+    bits = F.least(F.ceil(F.log2(F.col("n") / block)), F.lit(spare)).cast("int")
+    piece = F.pmod(F.shiftright("part", 16), F.lit(len(pieces))).cast("int")
+    free = F.element_at(F.array(*[F.lit(width - n) for _, n in pieces]), piece + 1)
+    near_ranges = F.expr(f"filter(sequence(0, shiftleft(1, bits) - 1), x -> bit_count(x) <= {RADIUS})")
+    ranges = cut(sizes.select("part", bits.alias("bits"), (free - bits).alias("drop")).withColumn("others", near_ranges))
+    if ranges.isEmpty():
+        e = e.select("part", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("mine"), "c", "fp")
+    else:
+        e = e.join(F.broadcast(ranges), "part", "left")  # at most a row for each part, whose number the plan fixes
+        e = e.withColumn("mine", F.when(F.col("bits").isNull(), 0).otherwise(F.expr("shiftright(rest, drop)").cast("int")))
+        cells = e.where("bits IS NOT NULL").groupBy("part", "mine").agg(F.count(F.lit(1)).alias("n")).groupBy("part").agg(F.ceil(F.max("n") / (2 * block)).cast("int").alias("salts"))
+        e = e.join(F.broadcast(cut(cells)), "part", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        salt = F.pmod(F.xxhash64("c"), F.col("salts")).cast("int")
+        e = e.withColumn("other", F.explode(F.coalesce("others", F.array(F.lit(0))))).withColumn("other", F.col("mine").bitwiseXOR(F.col("other")))
+        e = e.withColumn("mine", F.col("mine") * F.col("salts") + salt).withColumn("other", F.explode(F.sequence(F.col("other") * F.col("salts"), (F.col("other") + 1) * F.col("salts") - 1)))
+        e = e.select("part", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "c", "fp")
 
     near = 0.5 * (1 - similarity)
-    limit = int(BITS * near + 4 * (BITS * near * (1 - near)) ** 0.5)
+    n_used = sections * width
+    limit = int(n_used * near + 4 * (n_used * near * (1 - near)) ** 0.5)
 
     def search(t: pa.Table):
         if t.num_rows < 2:
             return None
         part, p, q = (t.column(k)[0].as_py() for k in ("part", "p", "q"))
-        s, byte = divmod(part >> 8, 3)
-        fp = np.frombuffer(b"".join(t.column("fp").to_pylist()), np.uint64).reshape(t.num_rows, -1)
-        code = _section(fp, s)
+        s, x = divmod(part >> 16, len(pieces))
+        fp = read(t)
+        code = _section(fp, s, width)
         i, j = GrayIndex(code).pairs(RADIUS)
         diff = code[i] ^ code[j]
-        first = np.ones(len(i), bool)  # a pair that agrees on several bytes is taken at the first
-        for x in range(byte):
-            first &= (diff >> np.uint32(8 * x)) & np.uint32(255) != 0
+        first = np.ones(len(i), bool)  # a pair that agrees on several pieces is taken at the first
+        for at, n in pieces[:x]:
+            first &= _piece(diff, at, n) != 0
         i, j = i[first], j[first]
         if p != q:
             side = t.column("mine").to_numpy()
@@ -174,10 +240,10 @@ def candidate_pairs(classes: DataFrame, similarity: float, block: int = 4096) ->
         if len(i):
             near_enough = np.bitwise_count(fp[i] ^ fp[j]).sum(1) <= limit
             i, j = i[near_enough], j[near_enough]
-        for x in range(s):  # ... and at the first section within the radius
+        for y in range(s):  # ... and at the first section within the radius
             if not len(i):
                 return None
-            later = np.bitwise_count(_section(fp[i], x) ^ _section(fp[j], x)) > RADIUS
+            later = np.bitwise_count(_section(fp[i], y, width) ^ _section(fp[j], y, width)) > RADIUS
             i, j = i[later], j[later]
         if not len(i):
             return None
@@ -189,7 +255,7 @@ def candidate_pairs(classes: DataFrame, similarity: float, block: int = 4096) ->
 
 def similar_classes(classes: DataFrame, similarity: float) -> DataFrame:
     """``a, b, similarity``: pairs of classes whose exact sets of words are similar enough."""
-    pairs = candidate_pairs(classes, similarity)
+    pairs = cut(candidate_pairs(classes, similarity))
     wa, wb = classes.select(F.col("c").alias("a"), F.col("words").alias("wa")), classes.select(F.col("c").alias("b"), F.col("words").alias("wb"))
     both = pairs.join(wa, "a").join(wb, "b")
     common = F.size(F.array_intersect("wa", "wb"))
@@ -203,6 +269,18 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, similarity: float
     return similar_classes(classes, similarity), members
 
 
+def linked_classes(df: DataFrame, id_col: str, text_col: str, similarity: float = 0.7, min_words: int = 20) -> DataFrame:
+    """``id, class_id, copies, n_links``: of each record the smallest id with the same set of words, the records
+    that have it, and the number of other sets that are similar enough. One row for each record."""
+    classes, members = classes_of(word_sets(df, id_col, text_col, min_words))
+    pairs = cut(similar_classes(classes, similarity))
+    links = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n_links"))
+    m = cut(members)
+    sizes = m.groupBy("c").agg(F.count(F.lit(1)).alias("copies"))
+    told = classes.select("c", "rep").join(sizes, "c").join(links, "c", "left").select("c", F.col("rep").alias("class_id"), "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return lookup_join(m, told, "c").select("id", "class_id", "copies", "n_links")
+
+
 def near_duplicate_pairs(df: DataFrame, id_col: str, text_col: str, similarity: float = 0.7, min_words: int = 20) -> DataFrame:
     """``a, b``: all pairs of records, opened from the classes."""
     pairs, members = near_duplicates(df, id_col, text_col, similarity, min_words)
