@@ -31,6 +31,10 @@ BEFORE_NAME = {
     "pt": "sr sra dr dra prof eng pág fig art núm av aprox ex",
     "nl": "dhr mevr dr prof ir ing nr blz bijv d.w.z o.a art fig ca",
 }
+# Abbreviations that are words as well, or words of another language. Before a number or
+# label they are abbreviations, and the titles among them before a name; else they close a sentence as any word does.
+WORDS_TOO = set("no nos art app ch sec tab par para ver mind cap max min abs str sog col st gen rep rev sen pres hon".split())
+TITLES_TOO = set("col st gen rep rev sen pres hon sec".split())
 # Abbreviations that also close a sentence when a capital follows.
 MAY_END = set("etc inc ltd co corp llc jr sr a.m p.m u.s u.k u.n e.u kg km cm mm usw etc. ecc dgl и.т.д т.д т.п др г кг км ud uds ag gmbh".split())
 MONTHS = set(
@@ -45,6 +49,7 @@ WORD_BEFORE = regex.compile(r"[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}.\-­'’]*$")
 CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]")
 FRENCH_CLOSE = regex.compile(r"\s»")
 THAI_BLANK = regex.compile(r"(?<![\d.,:;ๆ])[^\S\r\n]+(?![\dๆ])")
+LABEL = regex.compile(r"[B-HJ-Z](?![\w.'’])|[AI](?=[,;:)\]])|[IVXLC]{2,}\b")  # of a section, figure or annex
 LATIN_MARKS = {
     "de": regex.compile(r"\b(?:der|die|das|und|ist|mit|den|im|ohne|wer|vor|bei)\b", regex.I),
     "fr": regex.compile(r"\b(?:le|la|les|des|et|avec|est|une|du|près|pendant)\b", regex.I),
@@ -56,7 +61,7 @@ LATIN_MARKS = {
 }
 _SETS = {k: set(v.split()) for k, v in BEFORE_NAME.items()}
 # Abbreviations that are no word elsewhere hold in every language: pages mix languages within a line.
-_COMMON = {w for v in _SETS.values() for w in v if len(w) >= 3} - {"max", "min", "par", "ver", "app", "eng", "usw.o", "sog", "str", "kap"} | _SETS["en"]
+_COMMON = {w for v in _SETS.values() for w in v if len(w) >= 3} - {"eng", "usw.o", "kap"} | _SETS["en"]
 
 
 def language(paragraph: str) -> str:
@@ -147,7 +152,9 @@ def _ends(text: str, unit: int, dot: int, after_stop: int, after_close: int, lim
     if word in ("г", "гг") and regex.search(r"\d\s*$", text[max(unit, m.start() - 3) : m.start()]):
         return True  # after a year it is a year's end, not a town
     if word in known:
-        return False
+        if word not in WORDS_TOO or head.isdigit():
+            return False
+        return not (word in TITLES_TOO and raw[:1].isupper() and head.isupper()) and not LABEL.match(text, bare, limit)
     if len(raw) == 1 and raw.isalpha() and not raw.islower():
         return False  # an initial, or a one-letter title of a script without cases
     if len(raw) == 1 and regex.match(r"\p{L}\.", text[nxt : nxt + 2]):
