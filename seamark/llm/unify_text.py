@@ -4,7 +4,7 @@ Each Arrow partition is handed to an embedded DuckDB, which rewrites the text co
 ``translate``, ``replace``, regular expressions and ``nfc_normalize``. What is unified: widths of
 letters, digits and blanks, ligatures and other compatibility forms that keep their look,
 composed against combining accents, characters without ink, and look-alike letters of Latin,
-Greek and Cyrillic. What stays different: letter case, accents, raised and lowered characters,
+Greek, Cyrillic, Armenian, Coptic, Cherokee and Lisu. What stays different: letter case, accents, raised and lowered characters,
 a missing blank, and emoji (a joiner inside an emoji sequence is part of its look).
 
 Defined results: a null text stays null, an empty or blank one becomes ''. Repeated rows are
@@ -19,11 +19,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seamark.functions.dist import cut, lookup_join
+
 # Letters of two scripts that share one shape in common fonts.
 CYRILLIC = "АВЕЅІЈКМНОРСТУХԚԜҮаеѕіјорсухһԁԛԝѵ"
 CYRILLIC_AS = "ABESIJKMHOPCTYXQWYaesijopcyxhdqwv"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϳ"
 GREEK_AS = "ABEZHIKMNOPTYXovj"
+ARMENIAN = "ՕՍօհոսց"
+ARMENIAN_AS = "OUohnug"
+COPTIC = "ⲀⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥ"
+COPTIC_AS = "ABEHIKMNOPCTYXopc"
+CHEROKEE = "ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏃᏎᏏᏒᏔᏙᏚᏞᏟᏢᏦᏴ"
+CHEROKEE_AS = "DRTiAJEWMHYGZ4bRWVSLCPKB"
+LISU = "ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ"
+LISU_AS = "BPDTGKJCZFNLSRVHWXYAEIOU"
 OTHER = "ɡɑÐƉ‐‑ʼ∶ꓸ"
 OTHER_AS = "gaĐĐ--’:."
 
@@ -36,7 +46,7 @@ HOLD_JOIN, HOLD_SPLIT = "", ""
 
 
 def _look_alikes() -> dict[str, str]:
-    pairs = dict(zip(CYRILLIC + GREEK + OTHER, CYRILLIC_AS + GREEK_AS + OTHER_AS, strict=True))
+    pairs = dict(zip(CYRILLIC + GREEK + ARMENIAN + COPTIC + CHEROKEE + LISU + OTHER, CYRILLIC_AS + GREEK_AS + ARMENIAN_AS + COPTIC_AS + CHEROKEE_AS + LISU_AS + OTHER_AS, strict=True))
     for cp in [*range(0x370, 0x530), *range(0x1F00, 0x2000)]:  # letters with accents follow their base letter
         whole = unicodedata.normalize("NFD", chr(cp))
         if len(whole) > 1 and whole[0] in pairs:
@@ -74,7 +84,7 @@ def unify_sql(column: str = "text") -> str:
     emoji = r"\x{2190}-\x{2BFF}\x{1F000}-\x{1FAFF}\x{E0020}-\x{E007F}"
     arabic = r"\x{0620}-\x{06FF}\x{0750}-\x{077F}"
     virama = r"\x{094D}\x{09CD}\x{0A4D}\x{0ACD}\x{0B4D}\x{0BCD}\x{0C4D}\x{0CCD}\x{0D4D}\x{0DCA}"
-    x = f'"{column}"'
+    name = x = f'"{column}"'
     x = f"translate({x}, {_q(no_ink)}, '')"
     for _ in range(2):  # the match takes its right neighbour, so every second joiner waits for the next turn
         x = f"regexp_replace({x}, '([{emoji}])‍([{emoji}])', '\\1{HOLD_JOIN}\\2', 'g')"
@@ -90,8 +100,10 @@ def unify_sql(column: str = "text") -> str:
     y = f"CASE WHEN regexp_matches(t.x, {_q('[' + wide + ']')}) THEN {expand} ELSE t.x END"
     z = f"translate(nfc_normalize({y}), {_q(src + blanks)}, {_q(dst + ' ' * len(blanks))})"
     z = f"regexp_replace(nfc_normalize({z}), '\\r\\n|[\\r\\x{{0085}}\\x{{2028}}\\x{{2029}}]', chr(10), 'g')"
-    z = f"trim(regexp_replace(regexp_replace({z}, ' +', ' ', 'g'), ' ?\\n ?', chr(10), 'g'), chr(10) || ' ')"
-    return f"(SELECT {z} FROM (SELECT {x} AS x) t)"
+    tidy = lambda c: f"trim(regexp_replace(regexp_replace({c}, ' +', ' ', 'g'), ' ?\\n ?', chr(10), 'g'), chr(10) || ' ')"
+    whole = f"(SELECT {tidy(z)} FROM (SELECT {x} AS x) t)"
+    ascii_only = tidy(f"regexp_replace(replace({name}, chr(9), ' '), '\\r\\n|\\r', chr(10), 'g')")
+    return f"(CASE WHEN regexp_matches({name}, '[^\\x00-\\x7F]') THEN {whole} ELSE {ascii_only} END)"
 
 
 def unify(df: DataFrame, column: str = "text", into: str = "unified") -> DataFrame:
@@ -131,11 +143,19 @@ def same_look_pairs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Copies of one exact text are no pair with each other; the join runs between the classes of
     exact texts of one look, then each class is opened to its members.
     """
-    rows = look_classes(df, id_col, text_col)
-    classes = rows.groupBy("look_key", "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    rows = cut(look_classes(df, id_col, text_col))  # DuckDB runs once
+    classes = cut(rows.select("look_key", "text_key").distinct())
     ta, tb = classes.select("look_key", F.col("text_key").alias("ta")), classes.select("look_key", F.col("text_key").alias("tb"))
     of = rows.select("id", "text_key")
     joined = ta.join(tb, "look_key").where("ta < tb").select("ta", "tb")
     joined = joined.join(of.select(F.col("id").alias("x"), F.col("text_key").alias("ta")), "ta")
     joined = joined.join(of.select(F.col("id").alias("y"), F.col("text_key").alias("tb")), "tb")
     return joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def same_look_groups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, group_id, n_texts``: of each id the smallest one that looks the same, and how many different
+    texts look so. One row for each id, however many look the same."""
+    rows = cut(look_classes(df, id_col, text_col))
+    texts = rows.groupBy("look_key", "text_key").agg(F.min("id").alias("id")).groupBy("look_key").agg(F.min("id").alias("group_id"), F.count(F.lit(1)).alias("n_texts"))
+    return lookup_join(rows.select("id", "look_key"), texts, "look_key").select("id", "group_id", "n_texts")
