@@ -192,8 +192,10 @@ def candidate_pairs(classes: DataFrame, similarity: float, block: int = 4096, pl
         for b in batches:
             if b.num_rows:
                 each = list(parts(read(b)))
-                take = pa.array(np.tile(np.arange(b.num_rows), len(each)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p for p, _ in each])), pa.array(np.concatenate([r for _, r in each])), b.column("c").take(take), b.column("fp").take(take)], names=["part", "rest", "c", "fp"])
+                # A record's rows stand together, which packs better.
+                take = pa.array(np.repeat(np.arange(b.num_rows), len(each)))
+                part, rest = (np.stack([x[k] for x in each], 1).ravel() for k in range(2))
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(rest), b.column("c").take(take), b.column("fp").take(take)], names=["part", "rest", "c", "fp"])
 
     e = marked.mapInArrow(spread, "part bigint, rest bigint, c bigint, fp binary")
     sizes = marked.mapInArrow(count, "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("n")).where(F.col("n") > block)
