@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -77,7 +78,53 @@ def test_near_duplicates_against_brute_force(spark):
     assert near_duplicates.near_duplicate_pairs(df.where("false"), "element_id", "text").count() == 0
 
 
+def test_crowded_parts_and_wide_sections(spark):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(500)]
+    hot = rng.sample(vocab, 40)
+    rows = []
+    for f in range(150):  # a third of all records are close to one text
+        base = list(hot) if f % 3 == 0 else rng.sample(vocab, 40)
+        for k in range(2):
+            t = list(base)
+            for _ in range(rng.randrange(1, 6)):
+                t[rng.randrange(40)] = rng.choice(vocab)
+            rows.append((f"e{f:03d}-{k}", " ".join(t)))
+    sets = {i: set(t.split()) for i, t in rows}
+    ids = sorted(sets)
+    want = {(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.7}
+    classes, members = near_duplicates.classes_of(near_duplicates.word_sets(spark.createDataFrame(rows, "id string, text string"), "id", "text", 20))
+    of = {r.c: r.id for r in members.collect()}
+    for block, plan in ((8, None), (4096, (33, 32)), (8, (33, 32))):
+        pairs = [(of[r.a], of[r.b]) for r in near_duplicates.candidate_pairs(classes, 0.7, block, plan).collect()]
+        assert len(pairs) == len(set(pairs))  # each pair once
+        assert len(want & {(min(p), max(p)) for p in pairs}) >= 0.98 * len(want)
+
+
+def test_plan_grows_with_the_records():
+    plans = [near_duplicates.plan_of(n, 0.7) for n in (10, 10**6, 10**8, 10**10)]
+    assert plans[0] == plans[1] == (16, 24) and plans[2][1] == 32 and plans[3][1] == 40 and plans[3][0] > plans[2][0] > 16
+
+
 # vector_neighbors
+def test_unsettled_graphs_raise_and_hubs_are_met(spark):
+    rng = np.random.default_rng(4)
+    hub = rng.standard_normal(24)
+    v = np.concatenate([hub[None], hub + 0.9 * rng.standard_normal((400, 24))]).astype(np.float32)
+    df = spark.createDataFrame([(f"c{i:04d}", "m", 24, x.tolist()) for i, x in enumerate(v)], "chunk_id string, model string, dim int, embedding array<float>")
+    nodes, _ = vector_neighbors.classes_of(vector_neighbors.unit_vectors(df))
+    even = spark.createDataFrame([(f"c{i:04d}", "m", 24, x.tolist()) for i, x in enumerate(rng.standard_normal((400, 24)))], "chunk_id string, model string, dim int, embedding array<float>")
+    with pytest.raises(RuntimeError):
+        vector_neighbors.build_graph(vector_neighbors.classes_of(vector_neighbors.unit_vectors(even))[0], tables=2, max_rounds=1, settled=0.0)
+    x = v / np.linalg.norm(v, axis=1, keepdims=True)
+    s = x @ x.T
+    np.fill_diagonal(s, -2)
+    rank = {i: set(np.argsort(-s[i])[:5]) for i in range(len(v))}
+    at = {r.v: int(np.frombuffer(r.vec, np.float32)[None].dot(x.T).argmax()) for r in nodes.collect()}
+    got = {at[r.v]: {at[e.w] for e in r.list[:5]} for r in vector_neighbors.build_graph(nodes, tables=3).collect()}
+    assert sum(len(rank[i] & got[i]) for i in rank) >= 0.95 * 5 * len(v)
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((150, 24))
@@ -133,6 +180,44 @@ def test_radius_join_loses_nothing(spark):
     assert got == want
 
 
+def test_crowded_cells_lose_nothing(spark):
+    rng = random.Random(6)
+    keys = ["".join(rng.choice("bdfgklmn") + rng.choice("aeiou") for _ in range(rng.randrange(1, 6))) for _ in range(260)] + ["ß" * 3, "петров", "петрова", "x" * 90, "x" * 91, "li", "lu", "a"]
+    keys = sorted({*keys, *(k[:2] + rng.choice("aeioubd") + k[2:] for k in keys[:120]), *(k[1:] for k in keys[:120] if len(k) > 1)})
+    df = spark.createDataFrame([(kind, k) for k in keys for kind in ("PERSON", "ORGANIZATION")], "kind string, key string")
+    want = set()
+    for kind, short in (("PERSON", 3), ("ORGANIZATION", 4)):
+        for i, a in enumerate(keys):
+            for b in keys[i + 1 :]:
+                n = min(len(a), len(b))
+                if plain_distance(a, b) <= (0 if n < short else 1 if n <= 6 else 2):
+                    want.add((kind, a, b))
+    for own, other in ((2048, 65_536), (4, 16)):
+        assert {tuple(r) for r in name_variants.key_pairs(df, 2, own, other).collect()} == want
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def linked_pairs(spark, names):
+    linked = spark.createDataFrame([(c, "d", t, n, None) for c, t, n in names], "canonical_id string, doc_id string, type string, name string, mention_ids array<string>")
+    mentions = spark.createDataFrame([], "mention_id string, type string, label string, aliases array<string>")
+    return {(r.a, r.b) for r in name_variants.same_entity_pairs(mentions, linked).collect()}
+
+
+def test_long_short_and_other_names(spark):
+    long = "Acme " + "x" * 250
+    names = [("1", "ORGANIZATION", f"{long} Left Works"), ("2", "ORGANIZATION", f"{long} Right Yards"), ("3", "ORGANIZATION", f"{long} Left Works Inc."), ("4", "ORGANIZATION", "IBM Corp."), ("5", "ORGANIZATION", "IBM Corporation"), ("6", "PERSON", "Wei Li"), ("7", "PERSON", "Li, Wei"), ("8", "PERSON", "Иван Петров"), ("9", "PERSON", "Иван   Петров"), ("a", "PERSON", "李伟"), ("b", "PERSON", "李 伟"), ("c", "ORGANIZATION", "3M"), ("d", "ORGANIZATION", "3M Co."), ("e", "ORGANIZATION", "SAP"), ("f", "ORGANIZATION", "SAB")]
+    assert linked_pairs(spark, names) == {("1", "3"), ("4", "5"), ("6", "7"), ("8", "9"), ("a", "b"), ("c", "d")}
+
+
 def test_entities(spark):
     names = [("1", "PERSON", "Nicholas P. Barnilvani"), ("2", "PERSON", "Barnilvani, Nick"), ("3", "PERSON", "N. Barnilvani"), ("4", "PERSON", "Olga Barnilvani"), ("5", "ORGANIZATION", "The Kotenrusvon Composites Kinetics Inc."), ("6", "ORGANIZATION", "Kotenrsuvon Comp. Kin."), ("7", "ORGANIZATION", "Kotenrusvon CK"), ("8", "ORGANIZATION", "Kotenrusvon Defense LLC"), ("9", "FACILITY", "Kotenrusvon CK"), ("10", "PERSON", None), ("11", "PERSON", ""), ("1", "PERSON", "Nicholas P. Barnilvani"), (None, "PERSON", "X Y")]
     linked = spark.createDataFrame([(c, "d", t, n, ["m" + str(c)]) for c, t, n in names], "canonical_id string, doc_id string, type string, name string, mention_ids array<string>")

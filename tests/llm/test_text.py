@@ -23,6 +23,13 @@ def test_same_look(spark):
     assert unify_text.same_look_pairs(df.where("false"), "chunk_id", "text").count() == 0
 
 
+def test_look_alikes_of_more_scripts_and_groups(spark):
+    rows = [("a", "COPE"), ("b", "ⲤⲞⲢⲈ"), ("c", "CՕPE"), ("d", "ᏟOᏢE"), ("e", "ꓚꓳꓑꓰ"), ("f", "COPE"), ("g", "cope"), ("h", None), ("i", "  ")]
+    df = spark.createDataFrame(rows, "chunk_id string, text string")
+    got = {r.id: (r.group_id, r.n_texts) for r in unify_text.same_look_groups(df, "chunk_id", "text").collect()}
+    assert got == {i: ("a", 5) for i in "abcdef"} | {"g": ("g", 1)}
+
+
 def test_unify_keeps_columns_and_nulls(spark):
     df = spark.createDataFrame([(None, 1, "q"), ("x" * 200_000, 2, "q"), ("", 3, "q")], "text string, n int, u string")
     got = {r.n: r.unified for r in unify_text.unify(df).collect()}
@@ -42,6 +49,10 @@ CASES = [
     ("「まだ早い！」と答えました。", ["「まだ早い！」と答えました。"]),
     ("โมดูลหนัก 5.5 ตัน ตัวเรือ", ["โมดูลหนัก 5.5 ตัน", "ตัวเรือ"]),
     ("है। ती।", ["है।", "ती।"]),
+    ("She said no. Then he left the base.", ["She said no.", "Then he left the base."]),
+    ("He studied art. Then he slept. Never mind. Go on. Use a tab. Then type.", ["He studied art.", "Then he slept.", "Never mind.", "Go on.", "Use a tab.", "Then type."]),
+    ("Wait 5 sec. Then run. See no. 5, art. IV, App. B and Sec. 2 of it.", ["Wait 5 sec.", "Then run.", "See no. 5, art. IV, App. B and Sec. 2 of it."]),
+    ("Col. Smith met Gen. Ott at St. Mary near the col. Then he left.", ["Col. Smith met Gen. Ott at St. Mary near the col.", "Then he left."]),
     ("", []),
     (" \n\n ", []),
 ]
@@ -95,7 +106,38 @@ def test_leaks_of_hot_half_passages(spark):
     assert got == {(n, 0) for n in range(0, 300, 3)}
 
 
+def leaks_both_ways(spark, docs, items):
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = [{(r.doc_id, r.item_id) for r in eval_leaks.leaks(d, i, broadcast_rows=n).collect()} for n in (200_000, 0)]
+    assert got[0] == got[1]  # broadcast or shuffled, the same
+    return got[0]
+
+
+def test_leaks_of_passages_that_many_items_share(spark):
+    own = [" ".join(f"o{i}x{k}" for k in range(12)) for i in range(6)]
+    items = [(i, f"{own[i]} {ITEM}") for i in range(6)] + [(10, ITEM), (11, ITEM.upper() + "!"), *((100 + n, " ".join(f"z{n}y{k}" for k in range(20))) for n in range(60))]
+    docs = [(n, f"Here {n} begins {ITEM} and ends") for n in range(40)] + [(99, "nothing of the kind is here at all")]
+    assert leaks_both_ways(spark, docs, items) == {(n, i) for n in range(40) for i in (*range(6), 10, 11)}
+
+
+def test_leaks_of_short_broken_and_unspaced_items(spark):
+    words = ITEM.split()
+    pieces = " ".join(" ".join(words[k : k + 7]) + f" (note {k}) a b c d e f g" for k in range(0, len(words), 7))
+    chinese = "本项目的系留法兰环在演习期间因轴承噪声传到船体套环而失去八百零六度的热量并由船员记录下来"
+    items = [(1, "teal gasket hums softly"), (2, ITEM), (3, chinese), (4, "two words")]
+    docs = [(1, "It said: Teal gasket hums softly. So be it."), (2, pieces), (3, "前言。" + chinese + "。结束"), (4, "two words stand here"), (5, "a teal gasket"), (6, "系留法兰环"), (7, None)]
+    assert leaks_both_ways(spark, docs, items) == {(1, 1), (2, 2), (3, 3)}
+
+
 # cut_text
+def test_slices_of_the_filter_count_alike(spark):
+    rows = [(f"k{i}", f"Text {i} tells of {w} and of {x}. It is over" + ("." if i % 3 else "")) for i in range(90) for w, x in [("ships masts winches".split()[i % 3], "harbors cranes".split()[i % 2])]] + [("s", "a"), ("t", "ab")]
+    t = spark.createDataFrame(rows, "key string, body string")
+    whole = {r.key: round(r.odds, 9) for r in cut_text.log_odds(t).collect()}
+    sliced = {r.key: round(r.odds, 9) for r in cut_text.log_odds(t, most_bits=2_000).collect()}
+    assert whole == sliced and set(whole) == {k for k, b in rows if len(b) > 1}
+
+
 def test_cut(spark):
     body = [f"The crew of ship {w} checked the {x} before noon. The {x} was in good order." for w in ("Alda", "Borin", "Cora", "Dena") for x in ("mast", "rudder", "winch", "anchor", "galley")]
     docs = [(i, " ".join(body[i % 20 :] + body[: i % 20]) + ("\nStatus: green" if i % 2 else "")) for i in range(80)]
@@ -123,8 +165,28 @@ def test_scan_repair(spark):
     e = spark.createDataFrame([("e1", "f", 1, "Text", "Spare parts ar1ive", (3, None), "ocr"), ("e2", "f", 2, "Text", None, (3, None), "ocr")], "element_id string, filename string, ord int, type string, text string, metadata struct<page_number:int,text_as_html:string>, extractor string")
     got = {tuple(r) for r in scan_repair.repairs(d, e).collect()}
     assert {("s", 1, 1, "furniture", ""), ("s", 2, 1, "furniture", ""), ("s", 1, 3, "joined", "reduced"), ("s", 1, 4, "misread", "cost"), ("s", 1, 4, "joined", "long-endurance"), ("s", 1, 5, "misread", "the"), ("s", 1, 5, "joined", "surface")} <= got
-    para = [r.text for r in scan_repair.paragraphs(d, e).where("record_id = 's'").orderBy("para").collect()]
-    assert len(para) == 1 and para[0].endswith("above the surface. Spare parts arrive every day.")
+    para = {(r.record_id, r.page, r.para): r.text for r in scan_repair.paragraphs(d, e).collect()}
+    assert para == {("s", 1, 0): text, ("e1", 3, 0): "Spare parts ar1ive"}  # no confusion makes "arrive" of that
+    assert scan_repair.paragraphs(d.where("false"), e.where("false")).count() == 0
+
+
+def test_many_misread_titles_and_headers_of_two_lines():
+    titles = [f"{a} {b} Report" for a in ("Alden", "Borin", "Cedric", "Dorvan") for b in ("Harbor", "Winter", "Signal")]
+    body = lambda n: f"the crew of {n * 7919 % 1000 / 7:.6f} went on with the work\nand {'zyxwvuts'[n % 8] * (n + 3)} slept for the night"
+    pages = [(n + 1, f"{t}\nProgram Office Review Copy\n\n{body(n)}\n\n{n + 1}") for n, t in enumerate(titles * 2)]
+    pages += [(100 + n, f"{t[:-3]}0rt\nProgram Office Revicw Copy\n\n{body(n + 30)}") for n, t in enumerate(titles)]
+    sy = scan_repair.symbols(pages, None)
+    first = {(i, k): s for i, k, _, s in sy if k <= 2}
+    assert len(titles) > 8 and all(s.startswith("T") and "r" in s[2:] for s in first.values())
+    assert all(s[0] == "M" for _, k, x, s in sy if k == 4)
+
+
+def test_words_with_accents_are_repaired(spark):
+    native = [(f"n{i}", ["Das Gerät hält die Größe der Übung ein."], "native") for i in range(5)]
+    d = spark.createDataFrame([*native, ("s", ["Es hä1t am Ort"], "ocr")], "doc_id string, pages array<string>, extractor string").withColumn("text", F.lit(None).cast("string"))
+    e = spark.createDataFrame([], "element_id string, filename string, ord int, type string, text string, metadata struct<page_number:int,text_as_html:string>, extractor string")
+    assert {(r.kind, r.repaired) for r in scan_repair.repairs(d, e).collect()} == {("misread", "hält")}
+    assert [r.text for r in scan_repair.paragraphs(d, e).collect()] == ["Es hält am Ort"]
 
 
 def test_viterbi_prefers_the_likelier_path():
