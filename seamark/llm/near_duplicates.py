@@ -1,23 +1,21 @@
 """Records that are the same but for small edits (problem 7).
 
-Each distinct set of words gets a fingerprint, one bit of one min-hash each, so that two sets of
-similarity s differ in (1-s)/2 of their bits. The fingerprint is cut into sections. Every section
-is an index of its own: its codes are sorted by Gray rank, so that neighbours share long bit
-patterns; runs of the order are leaves, and each upper node keeps the mask and pattern of the bits
-all its codes share. A search walks the upper nodes with the difference to their patterns
-accumulated, prunes the group when more than 2 bits differ in the section, and tests the whole
-fingerprints of the rest against the total difference that the similarity allows. Two codes within
-2 bits agree on one of three pieces, so the index is spread over the cluster by (section, piece,
-value). A crowded part is cut into ranges of the Gray order, which are the groups of codes that
-share their next bits; a range meets only those whose shared bits differ in 2 places or fewer, the
-others are pruned before anything is shipped. Ranges that many records share are cut once more.
+Each distinct set of words gets min-hashes. One bit of each of the first ``BITS`` makes its
+fingerprint, so that two sets of similarity s differ in (1-s)/2 of its bits. Runs of min-hashes make
+the keys of sections; a section spreads the index over the cluster, one copy of a record in each, and
+only records with an equal key meet. Every group of a key is an index of its own: its codes (the first
+64 bits) are sorted by Gray rank, so that neighbours share long bit patterns; runs of the order are
+leaves, and each upper node keeps the mask and pattern of the bits all its codes share. A search walks
+the upper nodes with the difference to their patterns accumulated, prunes the group when more bits
+differ than the similarity allows, and tests the whole fingerprints of the rest. Groups of up to a leaf
+are compared row by row, many groups at once. Crowded groups are cut into cells that meet in pairs.
 Pairs found are then checked on their exact sets of words.
 
-Width and number of the sections follow from the number of records (``plan_of``): sections get wider
-as records grow, so that the codes that are near by chance stay few for each record, and as many of
-them are taken as keep the chance to meet. Two sets of similarity 0.7 meet in at least one section
-with probability 0.994, more similar ones nearly always (``tests/llm`` measures recall against brute
-force).
+The number of min-hashes in a key follows from the number of records and from how alike records are in
+a sample (``plan_of``): keys get longer as records grow, so that those who meet by chance stay few, and
+as many sections are taken as keep the chance to meet. Two sets of similarity 0.7 meet in at least one
+section with probability 0.994, more similar ones nearly always (``tests/llm`` measures recall against
+brute force).
 
 Defined results: null texts and texts of fewer than ``min_words`` words take no part; records
 with the same set of words form one class, which is opened to its members at the end; repeated
@@ -26,20 +24,30 @@ rows count once; an empty table gives no pairs.
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.functions.dist import cut, lookup_join, map_groups
+from seamark.functions.dist import cut, discard, lookup_join, n_partitions
 
-RADIUS = 2
-WIDTHS = (24, 32, 40)
-CHANCE, MISS = 64, 0.006
+WIDTHS = (24, 32, 40, 48)
+CHANCE, MISS = 3000, 0.006
+LEAST, MOST = 3, 9  # min-hashes in a key
+BITS = 256
+FP = [f"f{k}" for k in range(BITS // 64)]
 LEAF = 64
 SEED = 20_011
+#: Means of the similarity of two records and of its powers, of narrative texts; ``likeness`` measures them.
+ALIKE = (0.1, 0.012, 0.0015, 0.0002)
+SAMPLE = 1000
+CROWDED = 100_000
 
 
 def gray_rank(code: np.ndarray) -> np.ndarray:
@@ -50,16 +58,24 @@ def gray_rank(code: np.ndarray) -> np.ndarray:
     return r
 
 
-def plan_of(n: int, similarity: float) -> tuple[int, int]:
-    """Sections and their bits for ``n`` records: the narrowest whose codes have at most ``CHANCE``
-    others within the radius by chance, and as many sections as miss a pair with probability ``MISS``."""
-    far = 0.5 * (1 - similarity)
-    for width in WIDTHS:
-        ball = sum(math.comb(width, k) for k in range(RADIUS + 1))
-        if n * ball / 2**width <= CHANCE:
-            break
-    meet = sum(math.comb(width, k) * far**k * (1 - far) ** (width - k) for k in range(RADIUS + 1))
-    return (1 if meet >= 1 else math.ceil(math.log(MISS) / math.log(1 - meet))), width
+def _sections(hashes: int, similarity: float) -> int:
+    """Keys of ``hashes`` min-hashes that miss a pair with probability ``MISS``, 16 at least."""
+    meet = similarity**hashes
+    return 16 if meet >= 1 else max(16, math.ceil(math.log(MISS) / math.log(1 - meet)))
+
+
+def hashes_of(sections: int, similarity: float) -> int:
+    """The most min-hashes in a key with which so many sections still meet."""
+    return max((h for h in range(1, MOST + 1) if _sections(h, similarity) <= sections), default=1)
+
+
+def plan_of(n: int, similarity: float, alike: tuple[float, ...] = ALIKE) -> tuple[int, int]:
+    """Sections and bits of a key for ``n`` records: the shortest keys that ``CHANCE`` others at most share
+    without being similar, in as many bits as keep keys apart. ``alike``: means of the powers of the similarity."""
+    fall = alike[-1] / alike[-2] if alike[-2] else 0.0
+    mean = [*alike, *(alike[-1] * fall**k for k in range(1, MOST))]
+    hashes = next((h for h in range(LEAST, MOST) if n * mean[h - 1] <= CHANCE), MOST)
+    return _sections(hashes, similarity), next((w for w in WIDTHS[:-1] if 8 * n <= 2**w), WIDTHS[-1])
 
 
 class GrayIndex:
@@ -76,10 +92,9 @@ class GrayIndex:
             self.levels.append((starts, ~(any_one ^ ones), ones))
         self.leaf = leaf
 
-    def pairs(self, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """All (i, j), i before j in Gray order, within ``radius`` bits; found leaf against leaf."""
+    def parts(self, radius: int):
+        """All (i, j), i before j in Gray order, within ``radius`` bits; found leaf against leaf, a leaf's pairs at a time."""
         (_, top_mask, top_bits), (starts, mask, bits) = self.levels
-        left, right = [], []
         for x in range(len(starts)):
             # Differences to a group are at least those on the bits both groups share.
             t = np.bitwise_count((bits[x] ^ top_bits) & mask[x] & top_mask) <= radius
@@ -90,176 +105,254 @@ class GrayIndex:
             mine = np.arange(starts[x], min(starts[x] + self.leaf, len(self.codes)))
             cand = (starts[nodes][:, None] + np.arange(self.leaf)[None]).ravel()
             cand = cand[cand < len(self.codes)]
-            i, j = np.nonzero(np.bitwise_count(self.codes[mine][:, None] ^ self.codes[cand][None]) <= radius)
+            i, j = np.divmod(np.flatnonzero(np.bitwise_count(self.codes[mine][:, None] ^ self.codes[cand][None]) <= radius), max(1, len(cand)))
             keep = mine[i] < cand[j]
-            left.append(mine[i][keep])
-            right.append(cand[j][keep])
-        return self.order[np.concatenate(left)], self.order[np.concatenate(right)]
+            yield self.order[mine[i][keep]], self.order[cand[j][keep]]
+
+    def pairs(self, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        left, right = zip(*self.parts(radius), strict=True)
+        return np.concatenate(left), np.concatenate(right)
 
 
-def fingerprints(words: pa.ChunkedArray | pa.Array, n_bits: int, chunk: int = 200_000) -> np.ndarray:
-    """``n_bits`` (a multiple of 64) for each list of 64-bit word hashes, as rows of uint64."""
-    flat = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    sizes = pa.compute.list_value_length(words).to_numpy(zero_copy_only=False)
+def min_hashes(words: pa.Array, n: int, chunk: int = 1_000) -> np.ndarray:
+    """``n`` min-hashes of each text's words, which single blanks part, as rows of uint32."""
+    lists = pc.split_pattern(words, " ")
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    each = lists.flatten().dictionary_encode()
+    h = np.array([zlib.crc32(w.encode()) for w in each.dictionary.to_pylist()], np.uint32)
     rng = np.random.default_rng(SEED)
-    mul = rng.integers(1 << 62, size=n_bits, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    add = rng.integers(1 << 63, size=n_bits, dtype=np.uint64)
-    out = np.zeros((len(sizes), n_bits // 64), np.uint64)
-    ends = np.cumsum(sizes)
+    mul = rng.integers(1 << 31, size=n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    add = rng.integers(1 << 32, size=n, dtype=np.uint32)
+    with np.errstate(over="ignore"):
+        for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            h = (h ^ (h >> np.uint32(shift))) * np.uint32(by)
+    h = (h ^ (h >> np.uint32(16)))[each.indices.to_numpy()]
+    sizes = pc.list_value_length(lists).to_numpy()
+    ends = np.cumsum(sizes, dtype=np.int64)
+    out = np.empty((len(sizes), n), np.uint32)
     row = 0
     while row < len(sizes):
         base = ends[row] - sizes[row]
-        stop = max(row + 1, int(np.searchsorted(ends, base + chunk // 8, side="right")))
-        h = flat[base : ends[stop - 1]]
-        starts = (ends[row:stop] - sizes[row:stop] - base).astype(np.int64)
-        bits = np.zeros((stop - row, n_bits), np.uint8)
-        for a in range(0, n_bits, 64):
-            with np.errstate(over="ignore"):
-                v = h[:, None] * mul[None, a : a + 64] + add[None, a : a + 64]
-                v ^= v >> np.uint64(31)
-                v *= np.uint64(0x9E3779B97F4A7C15)
-            low = np.minimum.reduceat(v, starts, axis=0)
-            bits[:, a : a + 64] = (low >> np.uint64(17)) & np.uint64(1)
-        out[row:stop] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        stop = max(row + 1, int(np.searchsorted(ends, base + chunk, side="right")))
+        v = h[base : ends[stop - 1], None] * mul[None]
+        v += add
+        out[row:stop] = np.minimum.reduceat(v, ends[row:stop] - sizes[row:stop] - base, axis=0)
         row = stop
     return out
 
 
-def _section(fp: np.ndarray, s: int, width: int) -> np.ndarray:
-    raw = fp.view(np.uint8)[:, s * (width // 8) : (s + 1) * (width // 8)].astype(np.uint64)
-    return (raw << (np.arange(width // 8, dtype=np.uint64) * np.uint64(8))).sum(1, dtype=np.uint64)
+def _mixed(v: np.ndarray) -> np.ndarray:
+    for by in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        v = (v ^ (v >> np.uint64(31))) * np.uint64(by)
+    return v ^ (v >> np.uint64(31))
+
+
+def dealt(low: np.ndarray, sections: int, hashes: int) -> list[int]:
+    """Which min-hash stands where in the keys. Some meet in words that many records have, also together: they are dealt
+    out so that few pairs of a sample share a key, else a key made of several of them holds a good part of all records."""
+    x, y = np.triu_indices(len(low), 1)
+    shared = np.stack([np.packbits(low[x, k] == low[y, k]) for k in range(sections * hashes)])
+    shared = np.pad(shared, ((0, 0), (0, -shared.shape[1] % 8))).view(np.uint64)
+    order = np.argsort(-np.bitwise_count(shared).sum(1, dtype=np.int64), kind="stable")
+    out = np.empty((sections, hashes), np.int64)
+    out[:, 0] = order[:sections]
+    both = shared[out[:, 0]]
+    for k in range(1, hashes):
+        rest = order[k * sections : (k + 1) * sections].tolist()
+        for s in np.argsort(-np.bitwise_count(both).sum(1, dtype=np.int64), kind="stable"):
+            best = rest.pop(int(np.bitwise_count(both[s] & shared[rest]).sum(1, dtype=np.int64).argmin()))
+            out[s, k] = best
+            both[s] &= shared[best]
+    return out.ravel().tolist()
+
+
+def likeness(low: np.ndarray) -> tuple[float, ...]:
+    """Means, over the pairs of a sample's min-hashes, of the similarity and of its first powers."""
+    n, m = low.shape
+    if n < 2:
+        return ALIKE
+    equal = np.zeros(m + 1, np.int64)
+    for x in range(n - 1):
+        equal += np.bincount((low[x + 1 :] == low[x]).sum(1), minlength=m + 1)
+    k = np.arange(m + 1)
+    # Of k equal ones among m, so many choices of h are all equal: no bias by chance.
+    return tuple(float((equal * np.prod([(k - i) / (m - i) for i in range(h)], 0)).sum() / equal.sum()) for h in range(1, len(ALIKE) + 1))
 
 
-def _pieces(width: int) -> list[tuple[int, int]]:
-    """Where the three pieces of a section begin and how many bits they have."""
-    cuts = [k * width // (RADIUS + 1) for k in range(RADIUS + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+def word_sets(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """``id, words, k`` of each row of ``min_words`` words or more: its sorted distinct words with single blanks, and their digest."""
+    base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    # A word and a blank each, but for the last one's blank: shorter texts need not leave the JVM.
+    base = base.where(F.length("text") >= 2 * min_words - 1)
+    kind = base.schema["id"].dataType.simpleString()
+
+    def sets(batches):
+        kept = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+        looks = bytes(x if x in kept else 32 for x in range(256)).lower()
+        for b in batches:
+            at, out = [], []
+            for i, text in enumerate(b.column("text").cast(pa.binary()).to_pylist()):
+                w = text.translate(looks).split()
+                if len(w) >= min_words:
+                    at.append(i)
+                    out.append(b" ".join(sorted(set(w))))
+            k = pa.array([hashlib.sha256(x).digest() for x in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(at, pa.int64())), pa.array(out, pa.binary()).cast(pa.string()), k], names=["id", "words", "k"])
 
+    return base.mapInArrow(sets, f"id {kind}, words string, k binary")
 
-def _piece(code: np.ndarray, at: int, n: int) -> np.ndarray:
-    return (code >> np.uint64(at)) & np.uint64((1 << n) - 1)
 
-
-def word_sets(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``id, words``: sorted distinct words of each record of ``min_words`` words or more."""
-    base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["id"])
-    words = F.regexp_extract_all(F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), F.lit("[a-z0-9]+"), F.lit(0))
-    return base.select("id", words.alias("w")).where(F.size("w") >= min_words).select("id", F.sort_array(F.array_distinct("w")).alias("words"))
+def _free(df: DataFrame) -> None:
+    """Shuffle files that no plan holds any more go when the driver collects its garbage: now, not some time later."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
 
 
 def classes_of(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``c, rep, words`` for each distinct set (``rep`` its smallest id) and ``id, c`` for each record."""
-    keyed = sets.select("id", "words", F.sha2(F.array_join("words", " "), 256).alias("k"))
-    one = keyed.groupBy("k").agg(F.min("id").alias("rep"), F.first("words").alias("words"))
-    one = cut(one.withColumn("c", F.monotonically_increasing_id()), spread=True)
-    members = keyed.select("id", "k").join(one.select("k", "c"), "k").select("id", "c")
-    return one.select("c", "rep", "words"), members
+    rows = cut(sets)
+    of = cut(rows.groupBy("id").agg(F.min("k").alias("k")))
+    one = of.groupBy("k").agg(F.min("id").alias("rep")).join(rows.select("k", "words").dropDuplicates(["k"]), "k")
+    one = cut(one.withColumn("c", F.monotonically_increasing_id()))
+    discard(rows)
+    _free(one)
+    return one.select("c", "rep", "words"), of.join(one.select("k", "c"), "k").select("id", "c")
 
 
-def candidate_pairs(classes: DataFrame, similarity: float, block: int = 4096, plan: tuple[int, int] | None = None) -> DataFrame:
-    """``a, b``: classes whose fingerprints agree as far as ``similarity`` demands."""
-    sections, width = plan or plan_of(classes.count(), similarity)
-    n_bits = -(-sections * width // 64) * 64
-    pieces = _pieces(width)
-
-    def mark(batches):
-        for b in batches:
-            if b.num_rows:
-                raw = np.ascontiguousarray(fingerprints(b.column("h"), n_bits)).view(np.uint8)
-                blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(n_bits // 8), b.num_rows, [None, pa.py_buffer(raw)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column("c"), blob], names=["c", "fp"])
-
-    marked = cut(classes.select("c", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).mapInArrow(mark, "c bigint, fp binary"))
-
-    def parts(fp: np.ndarray):
-        """Of each record its parts, and the bits of the section beside the part's piece."""
-        for s in range(sections):
-            code = _section(fp, s, width)
-            for x, (at, n) in enumerate(pieces):
-                rest = (code & np.uint64((1 << at) - 1)) | (code >> np.uint64(at + n) << np.uint64(at))
-                yield (np.int64(s * len(pieces) + x) << np.int64(16)) | _piece(code, at, n).astype(np.int64), rest.astype(np.int64)
-
-    def read(b) -> np.ndarray:
-        return np.frombuffer(b"".join(b.column("fp").to_pylist()), np.uint64).reshape(b.num_rows, -1)
-
-    def count(batches):
-        for b in batches:
-            if b.num_rows:
-                part, n = np.unique(np.concatenate([p for p, _ in parts(read(b))]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(n)], names=["part", "n"])
+def entries(classes: DataFrame, sections: int, width: int, at_key: list[int]) -> DataFrame:
+    """``key, c, f0, f1, ...``: each class once in each section, with its fingerprint. ``at_key``: the min-hashes of the keys."""
+    n, hashes = max(len(at_key), BITS), len(at_key) // sections
 
     def spread(batches):
         for b in batches:
-            if b.num_rows:
-                each = list(parts(read(b)))
-                # A record's rows stand together, which packs better.
-                take = pa.array(np.repeat(np.arange(b.num_rows), len(each)))
-                part, rest = (np.stack([x[k] for x in each], 1).ravel() for k in range(2))
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(rest), b.column("c").take(take), b.column("fp").take(take)], names=["part", "rest", "c", "fp"])
-
-    e = marked.mapInArrow(spread, "part bigint, rest bigint, c bigint, fp binary")
-    sizes = marked.mapInArrow(count, "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("n")).where(F.col("n") > block)
-    # Ranges of the Gray order are the codes with equal first bits: as many bits as leave a block to a range.
-    spare = width - max(n for _, n in pieces)
-    bits = F.least(F.ceil(F.log2(F.col("n") / block)), F.lit(spare)).cast("int")
-    piece = F.pmod(F.shiftright("part", 16), F.lit(len(pieces))).cast("int")
-    free = F.element_at(F.array(*[F.lit(width - n) for _, n in pieces]), piece + 1)
-    near_ranges = F.expr(f"filter(sequence(0, shiftleft(1, bits) - 1), x -> bit_count(x) <= {RADIUS})")
-    ranges = cut(sizes.select("part", bits.alias("bits"), (free - bits).alias("drop")).withColumn("others", near_ranges))
-    if ranges.isEmpty():
-        e = e.select("part", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("mine"), "c", "fp")
-    else:
-        e = e.join(F.broadcast(ranges), "part", "left")  # at most a row for each part, whose number the plan fixes
-        e = e.withColumn("mine", F.when(F.col("bits").isNull(), 0).otherwise(F.expr("shiftright(rest, drop)").cast("int")))
-        cells = e.where("bits IS NOT NULL").groupBy("part", "mine").agg(F.count(F.lit(1)).alias("n")).groupBy("part").agg(F.ceil(F.max("n") / (2 * block)).cast("int").alias("salts"))
-        e = e.join(F.broadcast(cut(cells)), "part", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-        salt = F.pmod(F.xxhash64("c"), F.col("salts")).cast("int")
-        e = e.withColumn("other", F.explode(F.coalesce("others", F.array(F.lit(0))))).withColumn("other", F.col("mine").bitwiseXOR(F.col("other")))
-        e = e.withColumn("mine", F.col("mine") * F.col("salts") + salt).withColumn("other", F.explode(F.sequence(F.col("other") * F.col("salts"), (F.col("other") + 1) * F.col("salts") - 1)))
-        e = e.select("part", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "c", "fp")
-
+            for at in range(0, b.num_rows, 2000):
+                part = b.slice(at, 2000)
+                low = min_hashes(part.column("words"), n)
+                fp = np.packbits((low[:, :BITS] >> np.uint32(9)).astype(np.uint8) & 1, axis=1, bitorder="little").view(np.int64)
+                keys = np.empty((sections, part.num_rows), np.uint64)
+                for s in range(sections):
+                    v = np.full(part.num_rows, s, np.uint64)
+                    for x in at_key[s * hashes : (s + 1) * hashes]:
+                        v = _mixed(v + low[:, x])
+                    keys[s] = (np.uint64(s) << np.uint64(width)) | (v >> np.uint64(64 - width))
+                c = b.column("c").slice(at, 2000).to_numpy()
+                cols = [keys.view(np.int64).T.ravel(), *(np.repeat(x, sections) for x in (c, *fp.T))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["key", "c", *FP])
+
+    return classes.select("c", "words").mapInArrow(spread, "key bigint, c bigint, " + ", ".join(f"{f} bigint" for f in FP))
+
+
+def _most(bits: int, similarity: float) -> int:
+    """Of so many bits, how many differ at most."""
     near = 0.5 * (1 - similarity)
-    n_used = sections * width
-    limit = int(n_used * near + 4 * (n_used * near * (1 - near)) ** 0.5)
-
-    def search(t: pa.Table):
-        if t.num_rows < 2:
-            return None
-        part, p, q = (t.column(k)[0].as_py() for k in ("part", "p", "q"))
-        s, x = divmod(part >> 16, len(pieces))
-        fp = read(t)
-        code = _section(fp, s, width)
-        i, j = GrayIndex(code).pairs(RADIUS)
-        diff = code[i] ^ code[j]
-        first = np.ones(len(i), bool)  # a pair that agrees on several pieces is taken at the first
-        for at, n in pieces[:x]:
-            first &= _piece(diff, at, n) != 0
-        i, j = i[first], j[first]
-        if p != q:
-            side = t.column("mine").to_numpy()
-            two = side[i] != side[j]
-            i, j = i[two], j[two]
-        if len(i):
-            near_enough = np.bitwise_count(fp[i] ^ fp[j]).sum(1) <= limit
-            i, j = i[near_enough], j[near_enough]
-        for y in range(s):  # ... and at the first section within the radius
-            if not len(i):
-                return None
-            later = np.bitwise_count(_section(fp[i], y, width) ^ _section(fp[j], y, width)) > RADIUS
-            i, j = i[later], j[later]
-        if not len(i):
-            return None
-        c = t.column("c").to_numpy()
-        return {"a": np.minimum(c[i], c[j]), "b": np.maximum(c[i], c[j])}
-
-    return map_groups(e, ["part", "p", "q"], search, "a bigint, b bigint")
+    return int(bits * near + 4 * (bits * near * (1 - near)) ** 0.5)
+
+
+def near_rows(group: np.ndarray, fp: np.ndarray, similarity: float):
+    """Arrays (i, j) of rows of one group whose fingerprints are near; rows of a group stand together."""
+    first = _most(64, similarity)
+    codes = np.ascontiguousarray(fp.T)
+
+    def near(i, j):
+        differ = 0
+        for k, code in enumerate(codes):
+            differ = differ + np.bitwise_count(code[i] ^ code[j]).astype(np.int64)
+            ok = differ <= _most(64 * (k + 1), similarity)
+            i, j, differ = i[ok], j[ok], differ[ok]
+        return i, j
+
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    sizes = np.diff(np.r_[starts, len(group)])
+    to_end = np.repeat(starts + sizes, sizes) - np.arange(len(group))
+    at = np.flatnonzero((np.repeat(sizes, sizes) <= LEAF) & (to_end > 1))
+    for d in range(1, LEAF):
+        at = at[to_end[at] > d]
+        if not len(at):
+            break
+        yield near(at, at + d)
+    for a, n in zip(starts[sizes > LEAF], sizes[sizes > LEAF], strict=True):
+        for i, j in GrayIndex(codes[0, a : a + n]).parts(first):
+            yield near(a + i, a + j)
+
+
+def candidate_pairs(classes: DataFrame, similarity: float, block: int = 4096, plan: tuple[int, int] | None = None) -> DataFrame:
+    """``a, b``: classes whose fingerprints agree as far as ``similarity`` demands."""
+    n_classes = classes.count()
+    some = pa.array([r.words for r in classes.orderBy(F.xxhash64("c")).limit(SAMPLE).select("words").collect()], pa.string())
+    sections, width = plan or plan_of(n_classes, similarity, likeness(min_hashes(some, 128)))
+    hashes = hashes_of(sections, similarity)
+    at_key = dealt(min_hashes(some, sections * hashes), sections, hashes)
+    e = entries(classes, sections, width, at_key)
+
+    # Crowded keys are told by a share of the classes, and are fewer than CROWDED whatever the data.
+    share = max(1, block // 64)
+    most = max(block, n_classes * sections // CROWDED)
+    counts = entries(classes.where(F.pmod(F.xxhash64("c"), F.lit(share)) == 0), sections, width, at_key).groupBy("key").agg((F.count(F.lit(1)) * share).alias("n"))
+    cells = cut(counts.where(F.col("n") > most).select("key", F.ceil(F.col("n") / (4 * block)).cast("int").alias("cells")).where("cells > 1"))
+    split = not cells.isEmpty()
+    if split:
+        e = e.join(F.broadcast(cells), "key", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+        e = e.withColumn("mine", F.pmod(F.xxhash64("c", F.lit(1)), F.col("cells")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        e = e.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "c", *FP)
+    keys = ["key", "p", "q"] if split else ["key"]
+
+    def search(batches):
+        held: list[pa.RecordBatch] = []
+
+        def found(t: pa.Table):
+            cols = [t.column(k).to_numpy() for k in keys]
+            change = np.zeros(t.num_rows, bool)
+            for x in cols:
+                change[1:] |= x[1:] != x[:-1]
+            fp = np.stack([t.column(f).to_numpy() for f in FP], 1).view(np.uint64)
+            c = t.column("c").to_numpy()
+            side, two = (t.column("mine").to_numpy(), cols[1] != cols[2]) if split else (None, None)
+            for i, j in near_rows(np.cumsum(change), fp, similarity):
+                if split:
+                    ok = ~two[i] | (side[i] != side[j])
+                    i, j = i[ok], j[ok]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[i], c[j])), pa.array(np.maximum(c[i], c[j]))], names=["a", "b"])
+
+        def packed(rows):
+            """Few large batches instead of many small ones."""
+            kept, n = [], 0
+            for b in rows:
+                kept.append(b)
+                n += b.num_rows
+                if n > 20_000:
+                    yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+                    kept, n = [], 0
+            if kept:
+                yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+
+        def all_rows():
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                same = np.ones(b.num_rows, bool)
+                for k in keys:
+                    x = b.column(k).to_numpy()
+                    same &= x == x[-1]
+                last = int(np.argmax(same))  # where the last group begins; it may go on
+                if last or held and any(b.column(k)[0] != held[-1].column(k)[held[-1].num_rows - 1] for k in keys):
+                    yield from found(pa.Table.from_batches([*held, b.slice(0, last)]).combine_chunks())
+                    held.clear()
+                held.append(b.slice(last))
+            if held:
+                yield from found(pa.Table.from_batches(held).combine_chunks())
+
+        yield from packed(all_rows())
+
+    return e.repartition(n_partitions(e), *keys).sortWithinPartitions(*keys).mapInArrow(search, "a bigint, b bigint").distinct()
 
 
 def similar_classes(classes: DataFrame, similarity: float) -> DataFrame:
     """``a, b, similarity``: pairs of classes whose exact sets of words are similar enough."""
     pairs = cut(candidate_pairs(classes, similarity))
+    _free(pairs)
     wa, wb = classes.select(F.col("c").alias("a"), F.col("words").alias("wa")), classes.select(F.col("c").alias("b"), F.col("words").alias("wb"))
-    both = pairs.join(wa, "a").join(wb, "b")
+    both = pairs.join(wa, "a").join(wb, "b").select("a", "b", F.split("wa", " ").alias("wa"), F.split("wb", " ").alias("wb"))
     common = F.size(F.array_intersect("wa", "wb"))
     sim = common / (F.size("wa") + F.size("wb") - common)
     return both.select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= similarity)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -106,6 +107,41 @@ def test_plan_grows_with_the_records():
     assert plans[0] == plans[1] == (16, 24) and plans[2][1] == 32 and plans[3][1] == 40 and plans[3][0] > plans[2][0] > 16
 
 
+def test_copies_of_a_record_stay_few(spark):
+    assert near_duplicates.plan_of(11_000_000, 0.7)[0] <= 20  # each holds a record once; before, 40 held it three times
+    # Records more alike get longer keys.
+    assert near_duplicates.plan_of(10**6, 0.7, (0.3, 0.1, 0.04, 0.016))[0] > near_duplicates.plan_of(10**6, 0.7)[0]
+    rng = random.Random(2)
+    vocab, stock = [f"w{i}" for i in range(5000)], [f"s{i}" for i in range(12)]  # words that all records have
+    rows = [(f"e{i:04d}", " ".join(rng.sample(vocab, 28) + stock)) for i in range(1500)]
+    classes, _ = near_duplicates.classes_of(near_duplicates.word_sets(spark.createDataFrame(rows, "id string, text string"), "id", "text", 20))
+    low = near_duplicates.min_hashes(pa.array([" ".join(sorted(t.split())) for _, t in rows[:500]]), 48)
+    e = near_duplicates.entries(classes, 16, 24, near_duplicates.dealt(low, 16, 3)).groupBy("key").count().collect()
+    assert sum(r["count"] for r in e) == 16 * 1500 and max(r["count"] for r in e) < 500
+    worst = near_duplicates.entries(classes, 16, 24, list(range(48))).groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert max(r["count"] for r in e) <= worst
+
+
+def test_groups_against_brute_force():
+    rng = np.random.default_rng(6)
+    base = rng.integers(1 << 63, size=(40, near_duplicates.BITS // 64), dtype=np.uint64)
+    fp = base[rng.integers(40, size=400)] ^ (np.uint64(1) << rng.integers(64, size=(400, base.shape[1]), dtype=np.uint64))
+    group = np.sort(np.r_[np.zeros(150), rng.integers(1, 30, size=249), [99]])  # large, small and single
+    got = [(min(p), max(p)) for i, j in near_duplicates.near_rows(group, fp, 0.7) for p in zip(i.tolist(), j.tolist())]
+    near = lambda a, b, bits: np.bitwise_count(fp[a, : bits // 64] ^ fp[b, : bits // 64]).sum() <= near_duplicates._most(bits, 0.7)
+    assert sorted(got) == [(a, b) for a in range(400) for b in range(a + 1, 400) if group[a] == group[b] and all(near(a, b, n) for n in range(64, near_duplicates.BITS + 1, 64))]
+
+
+def test_words_and_records_of_odd_texts(spark):
+    long = " ".join(f"w{i}" for i in range(20))
+    rows = [("a", long), ("b", long.upper().replace(" ", "\u00e9,\n")), ("c", long.replace(" ", "\u212a")), ("d", long[:-4]), ("e", ""), ("f", None), (None, long), ("a", long), ("g", long + " K\u0130x 7")]
+    sets = near_duplicates.word_sets(spark.createDataFrame(rows, "id string, text string"), "id", "text", 20)
+    words = " ".join(sorted(long.split()))
+    assert {(r.id, r.words) for r in sets.collect()} == {("a", words), ("b", words), ("c", words), ("g", " ".join(sorted([*long.split(), "k", "x", "7"])))}
+    classes, members = near_duplicates.classes_of(sets)
+    assert sorted(r.rep for r in classes.collect()) == ["a", "g"] and sorted(r.id for r in members.collect()) == ["a", "b", "c", "g"]
+
+
 # vector_neighbors
 def test_unsettled_graphs_raise_and_hubs_are_met(spark):
     rng = np.random.default_rng(4)
